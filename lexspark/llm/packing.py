@@ -27,44 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexspark.llm.bpe import WordBpe
 from lexspark.llm.common import arrow_fields, checkpointed, slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Most words of which a worker keeps the ids.
-CACHE_WORDS = 300_000
 #: Patterns of the fit, and its steps.
 MAX_PATTERNS = 20_000
 FIT_STEPS = 150
 
 
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """From text to its ids as little-endian 32-bit numbers.
-
-    The tokenizer drops white space and its words never span it, so each blank-separated word is encoded
-    once and its ids are kept, up to CACHE_WORDS words.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    cache: dict[str, bytes] = {}
-
-    def encode(text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        missing = list({w for w in words if w not in cache})
-        for w, e in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            cache[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([cache[w] for w in words])
-
-    return encode
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int = CAPACITY) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of all pieces of all documents."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -74,13 +46,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, cap
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer_path)
+        encoder = WordBpe(tokenizer_path)
         for batch in batches:
             at = 0
             for part in slices(batch.column(1)):
                 row, piece, start, length, crc = [], [], [], [], []
-                for k, text in enumerate(part.to_pylist(), at):
-                    ids = encode(text or "") + end
+                for k, ids in enumerate(encoder.ids([text or "" for text in part.to_pylist()]), at):
+                    ids += end
                     for p, a in enumerate(range(0, len(ids), step)):
                         own = ids[a : a + step]
                         row.append(k)
