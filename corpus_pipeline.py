@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import decontam, packing, quality_bands, simhash
+from lexspark.llm import decontam, packing, pii_crf, quality_bands, simhash
 from lexspark.llm.common import checkpointed, fresh_name, table
 from lexspark.llm.queries import tokenizer_path
 
@@ -28,6 +28,15 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return hits.where(~decontam.contaminated(F.col(name))).drop(name)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; n_chars counts the new text."""
+    text = pii_crf.redact_column(F.col("text"))
+    name = fresh_name(docs, "__text")
+    found = docs.select("*", text.alias(name))
+    new = {"text": F.col(name), "n_chars": F.length(name).cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, in sequences."""
     return packing.pack(docs, tokenizer_path())
@@ -37,6 +46,7 @@ STAGES = [
     ("quality rules", quality),
     ("near duplicates", near_duplicates),
     ("benchmark decontamination", decontamination),
+    ("personal data", personal_data),
     ("best-fit packing", best_fit_packing),
 ]
 #: The compression ratios, fingerprints and the tokenizer have no SQL form.
