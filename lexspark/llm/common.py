@@ -6,11 +6,16 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+import lexspark
+
+cloudpickle.register_pickle_by_value(lexspark)  # kernels travel with their tasks; executors need no copy of this library
+
 #: Bytes of text that a kernel turns into Python objects at a time.
 SLICE_BYTES = 4 << 20
 

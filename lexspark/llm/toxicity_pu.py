@@ -1,13 +1,13 @@
 """Toxicity: non-negative positive-unlabelled learning.
 
 Only confirmed toxic documents are labels here; clean labels are used for nothing but the class prior. A
-linear classifier on word hashes minimises the non-negative estimate of the classification risk,
+linear classifier on hashes of words and word beginnings minimises the non-negative estimate of the classification risk,
   prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)),
 whose second part, the risk on the unseen negatives, is not let below zero.
 
-The classifiers are fitted on the driver from samples of documented size, MAX_POSITIVE toxic and
-MAX_UNLABELLED other documents, by the smallest hashes of their ids; only distinct word hashes are
-gathered. Scoring covers all documents.
+The classifier is fitted on the driver from samples of documented size, MAX_POSITIVE toxic and
+MAX_UNLABELLED other documents, by the smallest hashes of their ids; of the unlabelled ones only such
+features are gathered as enough positive ones have. Scoring covers all documents.
 
 Null texts count as empty; both have no words and get the score of the intercept. A doc_id with several
 labels is toxic if any says so; null labels are left out. Without toxic labels every score is zero.
@@ -27,36 +27,46 @@ from pyspark.sql import functions as F
 from lexspark.llm.common import struct_kernel
 from lexspark.llm.quality_gbdt import fold
 
-MAX_POSITIVE = 4_000
+MAX_POSITIVE = 3_000
 MAX_UNLABELLED = 12_000
-#: Most distinct words of a document that are gathered for the fit (of those with the smallest hashes).
-MAX_TRAIN_WORDS = 4_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-#: A word is a feature if this share of the positive documents has it, so many of them at least, so much more often than unlabelled ones.
-MIN_SHARE, MIN_DOCS, MIN_LIFT = 0.01, 5, 1.5
+#: Lengths of the word beginnings that are features, in bytes.
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: A feature is used if this share of the positive documents has it, so many of them at least, so much more often than unlabelled ones.
+MIN_SHARE, MIN_DOCS, MIN_LIFT = 0.01, 5, 2.0
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def word_hashes(text: str | None) -> list[int]:
-    """The hashes of a text's distinct lower-case words, in no order."""
-    return [zlib.crc32(w) for w in set((text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split())]
+def word_hashes(text: str | None) -> set[int]:
+    """Hashes of a text's distinct lower-case words, of their beginnings, and of beginnings that several words share."""
+    words = set((text or "").lower().encode("utf-8", "surrogatepass").translate(_FOLD).split())
+    crc = zlib.crc32
+    out = {crc(w) for w in words}
+    for n in BEGINNINGS:
+        heads = [w[:n] for w in words if len(w) > n]
+        distinct = set(heads)
+        out.update([crc(h, n) for h in distinct])
+        if len(distinct) < len(heads):
+            seen: set[bytes] = set()
+            out.update([crc(h, n + 100) for h in heads if h in seen or seen.add(h)])
+    return out
 
 
 @dataclass
 class Model:
-    """weights: by word hash; bias: for no word."""
+    """weights: by feature hash; bias: for a text without features."""
 
     weights: dict[int, float]
     bias: float
 
     def scores(self, texts: list) -> np.ndarray:
-        look = self.weights.get
-        raw = np.array([self.bias + sum(look(h, 0.0) for h in word_hashes(t)) for t in texts], np.float64)
+        weights, known = self.weights, self.weights.keys()
+        raw = np.array([self.bias + sum([weights[h] for h in known & word_hashes(t)]) for t in texts], np.float64)
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400, rate: float = 0.05, ridge: float = 1e-3, slack: float = 0.0) -> Model:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 1e-4, slack: float = 0.0) -> Model:
     """Adam on the non-negative risk with the logistic loss; where the negatives' part falls below -slack, its ascent is undone."""
     if not positive:
         return Model({}, -40.0)
@@ -104,16 +114,16 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return Model(dict(zip(words.tolist(), w[:-1].tolist(), strict=True)), float(w[-1]))
 
 
-def _gathered(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> list[np.ndarray]:
-    """Distinct word hashes of the chosen documents; those alike in all words count once."""
+def _gathered(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, wanted: set[int] | None = None) -> list[np.ndarray]:
+    """The features of the chosen documents, or those wanted of them; equal texts count once."""
 
     def build() -> Callable[[list], dict]:
-        return lambda texts: {"h": [np.array(sorted(word_hashes(t))[:MAX_TRAIN_WORDS], "<u4").tobytes() for t in texts]}
+        own = (lambda t: word_hashes(t)) if wanted is None else (lambda t: word_hashes(t) & wanted)
+        return lambda texts: {"h": [np.array(sorted(own(t)), "<u4").tobytes() for t in texts]}
 
     own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")  # a bounded sample
-    rows = own.select("__id", struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).dropDuplicates(["__id"]).collect()
-    distinct = dict.fromkeys(bytes(r.h) for r in sorted(rows, key=lambda r: r["__id"]))
-    return [np.frombuffer(h, "<u4").astype(np.int64) for h in distinct]
+    rows = own.select("__id", F.xxhash64("__text").alias("k"), struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).dropDuplicates(["k"]).collect()
+    return [np.frombuffer(bytes(r.h), "<u4").astype(np.int64) for r in sorted(rows, key=lambda r: r.k)]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -128,7 +138,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     others = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull() & (fold(F.col("__id"), FOLDS) != HELD_OUT))
     sample = others.orderBy(*by_hash).limit(MAX_UNLABELLED).distinct()
     prior = min(max(counts.toxic / counts.n, 0.001), 0.9)
-    return fit_nnpu(_gathered(docs, toxic, id_col, text_col), _gathered(docs, sample, id_col, text_col), prior)
+    positive = _gathered(docs, toxic, id_col, text_col)
+    features, n = np.unique(np.concatenate([np.zeros(0, np.int64), *positive]), return_counts=True)
+    wanted = set(features[n >= max(MIN_DOCS, MIN_SHARE * len(positive))].tolist())
+    return fit_nnpu(positive, _gathered(docs, sample, id_col, text_col, wanted), prior)
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
