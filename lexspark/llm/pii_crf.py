@@ -197,8 +197,11 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
 
 
-def train(sentences: list[tuple[list[str], list[str]]], steps: int = 140, rate: float = 0.15, ridge: float = 0.0004) -> Field:
-    """Maximum likelihood with a ridge, by Adam over all sentences; W words pad the ends."""
+def train(sentences: list[tuple[list[str], list[str]]], steps: int = 140, rate: float = 0.15, ridge: float = 0.0004, move_ridge: float = 0.02) -> Field:
+    """Maximum likelihood with ridges, by Adam over all sentences; W words pad the ends.
+
+    The larger ridge on transitions leaves more to the words themselves, so that `decided` can hold.
+    """
     shaped = [([*map(shape_of, w)], [STATES.index(y) for y in s]) for w, s in sentences]
     names = sorted({f for w, _ in shaped for x in w for f in shape_features(x)} | {"W"})
     index = {f: k for k, f in enumerate(names)}
@@ -230,7 +233,7 @@ def train(sentences: list[tuple[list[str], list[str]]], steps: int = 140, rate:
         z = _log_sum(f[:, -1], 1)
         share = np.exp(f + b - z[:, None, None])
         pairs = np.exp(f[:, :-1, :, None] + field.moves + (e[:, 1:] + b[:, 1:])[:, :, None, :] - z[:, None, None, None]).sum(axis=(0, 1))
-        slopes = ((seen - flat.T @ share.reshape(-1, s)) / n - ridge * field.weights, (moved - pairs) / n - ridge * field.moves)
+        slopes = ((seen - flat.T @ share.reshape(-1, s)) / n - ridge * field.weights, (moved - pairs) / n - move_ridge * field.moves)
         for p, g, m in zip((field.weights, field.moves), slopes, state, strict=True):
             m[0] = 0.9 * m[0] + 0.1 * g
             m[1] = 0.99 * m[1] + 0.01 * g * g
