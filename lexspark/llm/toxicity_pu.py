@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from lexspark.llm.common import struct_kernel
 from lexspark.llm.quality_gbdt import fold
 
-MAX_POSITIVE = 3_000
-MAX_UNLABELLED = 12_000
+MAX_POSITIVE = 2_000
+MAX_UNLABELLED = 8_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that are features, in bytes.
@@ -72,7 +72,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
         return Model({}, -40.0)
     seen = np.concatenate(positive)
     words, n_pos = np.unique(seen, return_counts=True)
-    rest = np.concatenate(unlabelled) if unlabelled else np.zeros(0, np.int64)
+    rest = np.concatenate(unlabelled) if unlabelled else np.zeros(0, np.uint32)
     at = np.searchsorted(words, rest)
     at[at == len(words)] = 0
     n_un = np.bincount(at[words[at] == rest], minlength=len(words)) if len(words) and len(rest) else np.zeros(len(words))
@@ -81,9 +81,9 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 
     def sparse(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        flat = np.concatenate(docs) if docs else np.zeros(0, np.int64)
+        flat = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
         if not len(words):
-            return rows[:0], flat[:0]
+            return rows[:0], rows[:0]
         at = np.searchsorted(words, flat)
         at[at == len(words)] = 0
         own = words[at] == flat
@@ -123,7 +123,7 @@ def _gathered(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, wa
 
     own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")  # a bounded sample
     rows = own.select("__id", F.xxhash64("__text").alias("k"), struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).dropDuplicates(["k"]).collect()
-    return [np.frombuffer(bytes(r.h), "<u4").astype(np.int64) for r in sorted(rows, key=lambda r: r.k)]
+    return [np.frombuffer(bytes(r.h), "<u4") for r in sorted(rows, key=lambda r: r.k)]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -139,7 +139,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     sample = others.orderBy(*by_hash).limit(MAX_UNLABELLED).distinct()
     prior = min(max(counts.toxic / counts.n, 0.001), 0.9)
     positive = _gathered(docs, toxic, id_col, text_col)
-    features, n = np.unique(np.concatenate([np.zeros(0, np.int64), *positive]), return_counts=True)
+    features, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *positive]), return_counts=True)
     wanted = set(features[n >= max(MIN_DOCS, MIN_SHARE * len(positive))].tolist())
     return fit_nnpu(positive, _gathered(docs, sample, id_col, text_col, wanted), prior)
 
