@@ -1,10 +1,6 @@
 """Queries over the driver's tables and their SQL counterparts."""
 
-from __future__ import annotations
+from lexspark.plans import corpus  # noqa: F401  registers its queries
+from lexspark.plans.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
