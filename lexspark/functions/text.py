@@ -98,7 +98,7 @@ def back_translation_key(c: Column) -> Column:
 
 def clean_candidates(values: Column, english: Column) -> Column:
     """Trimmed, without empty marks and English copies, in order, each once."""
-    kept = F.filter(F.transform(values, F.trim), lambda x: (x != "") & (x != "_EMPTY_") & (F.lower(x) != F.lower(english)))
+    kept = F.filter(F.transform(values, lambda x: F.trim(x)), lambda x: (x != "") & (x != "_EMPTY_") & (F.lower(x) != F.lower(english)))
     return F.array_distinct(kept)
 
 
@@ -123,7 +123,7 @@ def base_forms(c: Column) -> Column:
 
 
 def parse_alternatives(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def sense_pos(sense_id: Column) -> Column:

@@ -93,9 +93,9 @@ def q_candidate_evidence(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {SIM_SQL} SELECT b.vec_id, b.best FROM best b JOIN labels l ON l.doc_id = b.vec_id
-WHERE b.best_score >= 0.5 AND l.quality = 1 AND EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = b.vec_id AND e.label = b.best)""")
+WHERE b.best_score >= 0.25 AND l.quality = 1 AND EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = b.vec_id AND e.label = b.best)""")
 def q_confident_best(spark: SparkSession, sf: str) -> DataFrame:
-    good = nearest(spark, sf).where("best_score >= 0.5")
+    good = nearest(spark, sf).where("best_score >= 0.25")
     candidates = table(spark, sf, "embeddings").select("vec_id", F.col("label").alias("best"))
     labelled = table(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("vec_id"))
     return good.join(candidates, ["vec_id", "best"], "left_semi").join(labelled, "vec_id", "left_semi").select("vec_id", "best")
@@ -152,8 +152,8 @@ def q_occurrence_index(spark: SparkSession, sf: str) -> DataFrame:
     return two.groupBy("word", "lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), " || ").alias("examples"))
 
 
-@query("""WITH s AS (SELECT conv_id, turn, list_distinct(list_transform(list_filter(regexp_split_to_array(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) > 2),
-  lambda x: regexp_replace(translate(replace(x, 'ß', 'ss'), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '^(.{3,})[sx]$', '\\1'))) AS stems FROM conversations)
+@query("""WITH s AS (SELECT conv_id, turn, list_distinct(list_transform(list_filter(regexp_split_to_array(replace(lower(text), 'ß', 'ss'), '[^a-zà-ÿ]+'), lambda x: length(x) > 2),
+  lambda x: regexp_replace(translate(x, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '^(.{3,})[sx]$', '\\1'))) AS stems FROM conversations)
 SELECT conv_id, turn, len(stems) AS n_stems, CASE WHEN list_contains(stems, 'eau') THEN 'eau' ELSE 'none' END AS key FROM s""".replace("\\\\", "\\"))
 def q_claimed_evidence(spark: SparkSession, sf: str) -> DataFrame:
     stems = table(spark, sf, "conversations").select("conv_id", "turn", T.stems_of(F.col("text")).alias("stems"), T.normalize_phrase(F.col("text")).alias("n"))
@@ -174,14 +174,14 @@ def q_sense_count_views(spark: SparkSession, sf: str) -> DataFrame:
 @query(r"""WITH b AS (SELECT item_id, text FROM benchmark), f AS (SELECT item_id, text, replace(lower(text), 'ß', 'ss') AS folded FROM b)
 SELECT item_id, folded, translate(folded, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy') AS bare,
   trim(regexp_replace(regexp_replace(regexp_replace(translate(folded, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '-', ' ', 'g'), '[^a-z0-9'' ]', ' ', 'g'), ' +', ' ', 'g')) AS phrase,
-  array_to_string(list_distinct(list_filter(regexp_extract_all(folded, '[a-z'']+'), lambda w: length(w) > 2)), ' ') AS content,
+  array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(folded, '[a-z'']+'), lambda w: length(w) > 2))), ' ') AS content,
   regexp_matches(folded, '(ing|ed|ies|es|s)$') AS inflected,
   regexp_replace(trim(lower(text), ' .,;:!?"'''), '^(to|the|a|an) ', '') AS back_key FROM f""")
 def q_text_normalise(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("text")
     return table(spark, sf, "benchmark").select(
         "item_id", T.fold(c).alias("folded"), T.strip_accents(T.fold(c)).alias("bare"), T.normalize_phrase(c).alias("phrase"),
-        F.array_join(T.content_words(c), " ").alias("content"), T.looks_inflected(T.fold(c)).alias("inflected"), T.back_translation_key(c).alias("back_key"),
+        F.array_join(F.array_sort(T.content_words(c)), " ").alias("content"), T.looks_inflected(T.fold(c)).alias("inflected"), T.back_translation_key(c).alias("back_key"),
     )
 
 
