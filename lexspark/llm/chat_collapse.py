@@ -8,7 +8,8 @@ maximal and is rendered.
 Only hashes are compared, never texts with texts; the hashes are SHA-256 over role, text and the hash so
 far, so equal hashes mean equal turns. Common openings are one row after aggregation in each task.
 
-Turns are ordered by turn, then role, then text, nulls first; repeated rows are turns like any other. Null
+Turns are ordered by turn, then role, then text (for the comparison: then the turn's hash), nulls first;
+repeated rows are turns like any other. Null
 roles and texts differ from empty ones in the comparison and are rendered as empty. Rows without conv_id
 form one conversation of their own. A rendered conversation is one string, so it must fit in one. An empty
 table gives an empty table, further columns are ignored.
@@ -53,12 +54,13 @@ def collapse(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
 
 def chat_format(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, n_turns, n_copies, text) of the maximal conversations, rendered."""
-    kept = checkpointed(collapse(turns, conv, turn, role, text))
+    kept = checkpointed(collapse(turns, conv, turn, role, text)).select(F.struct("conv").alias("key"), "n_turns", "n_copies")
     shown = F.concat(F.lit(START), F.coalesce(F.col(role), F.lit("")), F.lit(MIDDLE), F.coalesce(F.col(text), F.lit("")), F.lit(END))
     one = F.struct(F.col(turn).alias("t"), F.col(role).alias("r"), F.col(text).alias("x"), shown.alias("s"))
-    wanted = turns.join(kept.select(F.col("conv").alias("__kept")), F.col(conv).eqNullSafe(F.col("__kept")), "left_semi")
-    rendered = wanted.groupBy(F.col(conv).alias("conv")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]), "").alias("text"))
-    return kept.join(rendered, kept["conv"].eqNullSafe(rendered["conv"])).select(kept["conv"].alias(conv), "n_turns", "n_copies", "text")
+    # a struct as key equals itself where the id is null, and the join keeps the grouping's partitions: texts move once
+    whole = turns.groupBy(F.struct(F.col(conv).alias("conv")).alias("key")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    rendered = F.array_join(F.transform("turns", lambda x: x["s"]), "")
+    return whole.join(kept, "key").select(F.col("key.conv").alias(conv), "n_turns", "n_copies", rendered.alias("text"))
 
 
 ORACLE = f"""
