@@ -66,7 +66,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 1e-4, slack: float = 0.0) -> Model:
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 3e-4, slack: float = 0.0) -> Model:
     """Adam on the non-negative risk with the logistic loss; where the negatives' part falls below -slack, its ascent is undone."""
     if not positive:
         return Model({}, -40.0)
