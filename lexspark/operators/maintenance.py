@@ -7,37 +7,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import any_match, head_stem, same_pos, sense_pos
-from lexspark.operators.store import first_match, is_protected
+from lexspark.operators.store import EXPORTABLE, first_match
 
 #: Pending agreements that ask for a new sense.
-STRUCTURAL = ("sense_id_suspect", "frontier_douteux", "frontier_non_equivalence", "frontier_desaccord")
+STRUCTURAL = ("sense_id_suspect", "sense_id_douteux", "frontier_reformulation", "frontier_explicitation")
+#: Labels of expressions that may be keys.
+EXPRESSION_LABELS = ("idiome", "phrasal_verb", "semi_fige")
 #: The dimensions of a judgment.
 DIMENSIONS = ("pos_correct", "sense_correct", "fr_acceptable", "overall")
 
 
 def reassign_targets(store: DataFrame) -> DataFrame:
-    """Pending entries whose sense is in doubt, by key; frontier_desaccord is a matter of words, not of the sense."""
-    return store.where((F.col("status") == "pending") & F.col("agreement").isin("sense_id_suspect", "frontier_douteux", "frontier_non_equivalence")).orderBy("key")
+    """Pending entries whose sense is in doubt, by key."""
+    return store.where((F.col("status") == "pending") & F.col("agreement").isin(*STRUCTURAL)).orderBy("key")
 
 
 def classify_decisions(decisions: DataFrame, store: DataFrame, inventory: DataFrame) -> DataFrame:
     """outcome of each decision (key, sense_id, fr): promu, reassigne, bloque or audit.
 
-    Expressions keep their key. A sense that the inventory lacks is taken as none. Satellites are adjectives.
+    Expressions keep their key. A sense that the inventory lacks is taken as none. A move to another part of
+    speech is for a human, satellites being adjectives. A locked target is never overwritten.
     """
     known = inventory.select("sense_id").distinct().withColumn("known", F.lit(True))
-    entry = store.select("key", F.col("kind"), F.col("pos").alias("entry_pos"))
+    entry = store.select("key", "kind", F.col("pos").alias("entry_pos"))
     target = store.select(F.col("key").alias("sense_id"), F.col("status").alias("target_status"))
     rows = decisions.join(entry, "key").join(known, "sense_id", "left")
     rows = rows.withColumn("sense_id", F.when(F.coalesce("known", F.lit(False)) | (F.col("kind") == "mwe"), F.col("sense_id")))
     rows = rows.join(target, "sense_id", "left")
-    pos = F.coalesce(same_pos(sense_pos(F.col("sense_id")), F.coalesce("entry_pos", sense_pos(F.col("key")))), F.lit(False))
     outcome = first_match(
         (F.col("kind") == "mwe", "promu"),
         (F.col("sense_id").isNull(), "audit"),
+        (~F.coalesce(same_pos(sense_pos(F.col("sense_id")), F.col("entry_pos")), F.lit(False)), "audit"),
         (F.col("sense_id") == F.col("key"), "promu"),
-        (~pos, "audit"),
-        (is_protected(F.col("target_status")), "bloque"),
+        (F.coalesce(F.col("target_status").isin(*EXPORTABLE), F.lit(False)), "bloque"),
         otherwise="reassigne",
     )
     return rows.select("key", "sense_id", "fr", outcome.alias("outcome"))
@@ -46,58 +48,96 @@ def classify_decisions(decisions: DataFrame, store: DataFrame, inventory: DataFr
 def apply_reassignments(store: DataFrame, classified: DataFrame) -> DataFrame:
     """The store after the decisions. Of several moves to one key the one from the smallest key counts."""
     moved = classified.where("outcome = 'reassigne'").groupBy("sense_id").agg(F.min(F.struct("key", "fr")).alias("m")).select("sense_id", F.col("m.key").alias("key"), F.col("m.fr").alias("new_fr"))
-    promoted = classified.where("outcome = 'promu'").select("key", F.col("fr").alias("fr_promoted"))
+    promoted = classified.where("outcome = 'promu'").select("key", F.lit(True).alias("promoted"), F.col("fr").alias("fr_promoted"))
     away = moved.select("key", F.concat(F.lit("reassigne_vers:"), "sense_id").alias("moved_to"))
     kept = store.join(promoted, "key", "left").join(away, "key", "left")
-    promote = F.col("fr_promoted").isNotNull()
-    kept = kept.withColumn("fr", F.when(promote, F.col("fr_promoted")).otherwise(F.col("fr")))
-    kept = kept.withColumn("status", F.when(promote, "auto_joint").otherwise(F.col("status")))
-    kept = kept.withColumn("agreement", F.when(promote, "auto_joint_confirme").otherwise(F.coalesce("moved_to", "agreement"))).drop("fr_promoted", "moved_to")
-    origin = store.select("key", F.col("occurrences").alias("n"), F.col("kind").alias("k"), F.col("lemmas_en").alias("l"))
-    fresh = moved.join(origin, "key").select(F.col("sense_id").alias("key"), "new_fr", "n", "k", "l")
+    promote = F.col("promoted").isNotNull()
+    changed = {
+        "fr": F.when(promote, F.coalesce("fr_promoted", "fr")).otherwise(F.col("fr")),
+        "status": F.when(promote, "auto_joint").otherwise(F.col("status")),
+        "agreement": F.when(promote, "auto_joint_confirme").otherwise(F.coalesce("moved_to", "agreement")),
+    }
+    kept = kept.select(*[changed.get(c, F.col(c)).alias(c) for c in store.columns])
+    origin = store.select("key", F.col("occurrences").alias("n"), F.col("lemmas_en").alias("l"))
+    fresh = moved.join(origin, "key").select(F.col("sense_id").alias("key"), F.col("key").alias("from_key"), F.lit(True).alias("new"), "new_fr", "n", "l")
     both = kept.join(fresh, "key", "full_outer")
-    new = F.col("new_fr").isNotNull()
+    new = F.col("new").isNotNull()
+    none = F.array().cast("array<string>")
+    word = F.array(F.replace(F.get(F.split("key", r"\."), F.lit(0)), F.lit("_"), F.lit(" ")))
     chosen = {
         "fr": F.when(new, F.col("new_fr")).otherwise(F.col("fr")),
         "status": F.when(new, "auto_joint").otherwise(F.col("status")),
-        "agreement": F.when(new, "auto_joint_reassigne").otherwise(F.col("agreement")),
+        "agreement": F.when(new, F.concat(F.lit("auto_joint_reassigne_depuis:"), "from_key")).otherwise(F.col("agreement")),
         "occurrences": F.coalesce("occurrences", F.lit(0)) + F.coalesce("n", F.lit(0)),
-        "kind": F.coalesce("kind", "k"),
-        "pos": F.coalesce("pos", sense_pos(F.col("key"))),
-        "lemmas_en": F.coalesce("lemmas_en", "l"),
+        "kind": F.when(new, "synset").otherwise(F.col("kind")),
+        "pos": F.when(new, sense_pos(F.col("key"))).otherwise(F.col("pos")),
+        "lemmas_en": F.when(new, F.array_distinct(F.concat(F.coalesce("lemmas_en", none), word, F.coalesce("l", none)))).otherwise(F.col("lemmas_en")),
     }
     return both.select(*[chosen.get(c, F.col(c)).alias(c) for c in store.columns])
 
 
-def commit(store: DataFrame, decisions: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
-    """(store, errors) after human decisions (key, decision, reassigner_vers, fr_final); the last decision of a key, by n, counts."""
-    last = decisions.groupBy("key").agg(F.max_by(F.struct(*decisions.columns), "n").alias("d")).select("d.*")
-    rows = last.join(store.select("key", F.lit(True).alias("found")), "key", "left")
-    error = first_match(
-        (F.col("found").isNull(), "unknown key"),
-        (~F.coalesce(F.col("decision"), F.lit("")).isin("ok", "no", "none", "reassign"), "unknown decision"),
-        ((F.col("decision") == "ok") & (F.coalesce(F.trim("fr_final"), F.lit("")) == ""), "no translation"),
-        ((F.col("decision") == "reassign") & (F.coalesce(F.trim("reassigner_vers"), F.lit("")) == ""), "no target"),
-        ((F.col("decision") == "reassign") & (F.col("reassigner_vers") == F.col("key")), "same key"),
+def judge_commits(decisions: DataFrame, store: DataFrame, senses: DataFrame) -> DataFrame:
+    """result of each human decision (n, key, decision, reassigner_vers, fr_final): ok, no, none, reassigned, skipped or an error.
+
+    senses (sense_id) holds the known senses; keys of expressions are mwe:EXPRESSION:LABEL.
+    """
+    clean = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    asked = decisions.withColumn("decision", F.lower(clean("decision"))).withColumn("to", clean("reassigner_vers")).withColumn("fr_final", clean("fr_final"))
+    entry = store.select("key", F.lit(True).alias("found"), "kind", F.get("lemmas_en", F.lit(0)).alias("word"), "pos")
+    known = senses.select(F.col("sense_id").alias("to")).distinct().withColumn("known", F.lit(True))
+    rows = asked.join(entry, "key", "left").join(known, "to", "left")
+    moving = F.col("to") != ""
+    well_formed = F.coalesce("known", F.lit(False)) | F.col("to").rlike(f"^mwe:[^:]+:({'|'.join(EXPRESSION_LABELS)})$")
+    result = first_match(
+        ((F.col("decision") == "") & ~moving, "skipped"),
+        (~F.col("decision").isin("ok", "no", "none"), "error: invalid decision"),
+        (F.col("found").isNull(), "error: unknown key"),
+        (moving & (F.col("kind") != "synset"), "error: only senses move"),
+        (moving & (F.col("decision") != "ok"), "error: a move needs ok"),
+        (moving & (F.col("fr_final") == ""), "error: a move needs a translation"),
+        (moving & ~well_formed, "error: bad target"),
+        (moving & (F.col("word").isNull() | F.col("pos").isNull()), "error: no word or part of speech"),
+        (moving, "reassigned"),
+        ((F.col("decision") == "ok") & (F.col("fr_final") == ""), "error: ok needs a translation"),
     )
-    judged = rows.withColumn("error", error)
-    good = judged.where("error IS NULL")
-    status = F.element_at(F.create_map(*map(F.lit, ("ok", "validated", "no", "rejected", "none", "no_equivalent", "reassign", "rejected"))), F.col("decision"))
-    own = good.select("key", status.alias("new_status"), F.when(F.col("decision") == "ok", F.trim("fr_final")).alias("new_fr"))
-    merged = store.join(own, "key", "left")
-    hit = F.col("new_status").isNotNull()
+    return rows.withColumn("result", F.coalesce(result, "decision"))
+
+
+def commit(store: DataFrame, decisions: DataFrame, senses: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
+    """(store, errors) after human decisions. A key's last good decision, by n, counts; a human may overwrite a locked target."""
+    judged = judge_commits(decisions, store, senses)
+    good = judged.where("NOT startswith(result, 'error') AND result <> 'skipped'")
+    aim = good.withColumn("aim", F.when(F.col("result") == "reassigned", F.col("to")).otherwise(F.col("key")))
+    last = aim.groupBy("aim").agg(F.max_by(F.struct("key", "result", "fr_final"), F.col("n")).alias("d")).select(F.col("aim").alias("key"), F.col("d.key").alias("from_key"), "d.result", F.col("d.fr_final").alias("new_fr"))
+    origin = store.select(F.col("key").alias("from_key"), F.col("occurrences").alias("n"), F.lit(True).alias("o"))
+    merged = store.join(last.join(origin, "from_key"), "key", "full_outer")
+    hit, moved = F.col("result").isNotNull(), F.col("result") == "reassigned"
+    status = F.when(F.col("result") == "no", "rejected").when(F.col("result") == "none", "no_equivalent").otherwise("validated")
+    expression = F.col("key").startswith("mwe:")
+    word = F.when(expression, F.get(F.split("key", ":"), F.lit(1))).otherwise(F.replace(F.get(F.split("key", r"\."), F.lit(0)), F.lit("_"), F.lit(" ")))
     chosen = {
-        "status": F.coalesce("new_status", "status"),
-        "fr": F.when(hit, F.col("new_fr")).otherwise(F.col("fr")),
+        "status": F.when(hit, status).otherwise(F.col("status")),
+        "fr": F.when(hit, F.when(F.col("result").isin("ok", "reassigned"), F.col("new_fr"))).otherwise(F.col("fr")),
+        "agreement": F.when(moved, F.concat(F.lit("reassigne_manuellement_depuis:"), "from_key")).otherwise(F.col("agreement")),
+        "occurrences": F.when(moved, F.col("n")).otherwise(F.col("occurrences")),
+        "kind": F.when(moved, F.when(expression, "mwe").otherwise("synset")).otherwise(F.col("kind")),
+        "pos": F.when(moved, F.when(expression, "mwe").otherwise(sense_pos(F.col("key")))).otherwise(F.col("pos")),
+        "lemmas_en": F.when(moved, F.array(word)).otherwise(F.col("lemmas_en")),
         "decided_by": F.when(hit, "human").otherwise(F.col("decided_by")),
         "decided_at": F.when(hit, today).otherwise(F.col("decided_at")),
     }
-    return merged.select(*[chosen.get(c, F.col(c)).alias(c) for c in store.columns]), judged.where("error IS NOT NULL").select("key", "error")
+    return merged.select(*[chosen.get(c, F.col(c)).alias(c) for c in store.columns]), judged.where("startswith(result, 'error')").select("key", "result")
+
+
+def corrections(judged: DataFrame, store: DataFrame) -> DataFrame:
+    """The corrections (word, pos, wrong_sense_id, new_key) that moves leave for the next book."""
+    moves = judged.where("result = 'reassigned'").select("key", "to")
+    return moves.join(store.select("key", F.get("lemmas_en", F.lit(0)).alias("word"), "pos"), "key").select("word", "pos", F.col("key").alias("wrong_sense_id"), F.col("to").alias("new_key"))
 
 
 def flagged(store: DataFrame) -> DataFrame:
-    """Protected entries whose sense doesn't fit and that no human decided."""
-    return store.where(is_protected(F.col("status")) & (F.col("sense_fit") == "mismatch") & ~F.col("decided_by").eqNullSafe(F.lit("human")))
+    """Locked entries whose sense doesn't fit and that no human decided."""
+    return store.where(F.col("status").isin(*EXPORTABLE) & (F.col("sense_fit") == "mismatch") & ~F.col("decided_by").eqNullSafe(F.lit("human")))
 
 
 def purge_senses(lines: DataFrame, key: str) -> dict[str, DataFrame]:

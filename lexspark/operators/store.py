@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexspark.functions.text import fr_stem
+
 #: States that no automatic step may change, and those that are exported.
 PROTECTED = ("validated", "auto_joint")
 EXPORTABLE = ("validated", "auto_strong", "auto_llm", "auto_corroborated", "auto_judged", "auto_joint")
@@ -66,34 +68,63 @@ def batches(rows: DataFrame, kind: str, order: str, size: int) -> DataFrame:
     return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(kind).orderBy(order)) - 1) / size))
 
 
-def stage_a(n_signals: Column, wordfreq_ok: Column, collision: Column, status: Column) -> Column:
-    """Two of three signals, usual words and no collision corroborate; a doubtful machine answer goes back."""
+def stage_a(n_signals: Column, wordfreq_ok: Column, collision: Column, status: Column, has_fr: Column) -> Column:
+    """Two of three signals, usual words and no collision corroborate; a doubtful machine answer goes back; decided entries stay."""
     sound = wordfreq_ok & ~collision
-    return F.when((n_signals >= 2) & sound, "auto_corroborated").when((status == "auto_llm") & ~sound, "pending").otherwise(status)
+    open_ = status.isin("pending", "auto_llm") & has_fr
+    return F.when(open_ & (n_signals >= 2) & sound, "auto_corroborated").when(open_ & (status == "auto_llm") & ~sound, "pending").otherwise(status)
 
 
-def stage_b(n_signals: Column, back_ok: Column, status: Column) -> Column:
-    return F.when(((n_signals == 1) | (status == "auto_llm")) & back_ok, "auto_corroborated").otherwise(status)
+def stage_b(n_signals: Column, sound: Column, back_ok: Column, has_definition: Column, status: Column) -> Column:
+    """Of entries left open with a definition: one signal, or a sound machine answer, and a back-translation that returns."""
+    asked = status.isin("pending", "auto_llm") & has_definition & ((n_signals == 1) | ((status == "auto_llm") & sound))
+    return F.when(asked & back_ok, "auto_corroborated").otherwise(status)
 
 
 def stage_c(verdict: Column, confidence: Column, status: Column) -> Column:
-    return F.when(verdict == "no_equivalent", "no_equivalent").when(confidence == "high", "auto_judged").otherwise(F.when(status.isin(*EXPORTABLE), status).otherwise("pending"))
+    """The judge on entries left open; no verdict leaves them."""
+    left = status.isin("pending", "auto_llm") & verdict.isNotNull()
+    return F.when(left & (verdict == "no_equivalent"), "no_equivalent").when(left & (confidence == "high"), "auto_judged").when(left, "pending").otherwise(status)
 
 
 def sense_decision(has_answer: Column, fit: Column, kind: Column, confidence: Column, has_resource: Column, overlap: Column) -> Column:
-    """Status after an answer, first gate first."""
-    return first_match(
-        (~has_answer, "pending/frontier_sans_reponse"),
-        (fit == "mismatch", "pending/sense_id_suspect"),
-        (fit == "doubtful", "pending/frontier_douteux"),
-        (kind != "equivalence", "pending/frontier_non_equivalence"),
-        (confidence == "low", "pending/frontier_faible"),
-        (~has_resource, "auto_llm/frontier_sans_ressource"),
-        (overlap, "auto_strong/frontier_concordant"),
-        otherwise="pending/frontier_desaccord",
+    """(status, agreement) after an answer: faithfulness to the sense first, then confidence, then the resources."""
+    to = lambda status, agreement: F.struct(F.lit(status).alias("status"), (agreement if isinstance(agreement, Column) else F.lit(agreement)).alias("agreement"))
+    return (
+        F.when(~has_answer, to("pending", "frontier_sans_reponse"))
+        .when(fit == "mismatch", to("pending", "sense_id_suspect"))
+        .when(fit == "doubtful", to("pending", "sense_id_douteux"))
+        .when(kind != "equivalence_directe", to("pending", F.concat(F.lit("frontier_"), kind)))
+        .when(confidence == "low", to("pending", "frontier_confiance_faible"))
+        .when(~has_resource, to("auto_llm", "frontier_sans_ressource"))
+        .when(overlap, to("auto_strong", "frontier_concordant"))
+        .otherwise(to("pending", "frontier_desaccord"))
+    )
+
+
+def resource_decision(omw: Column, wonef: Column, consensus_stem: Column, back_ok: Column) -> Column:
+    """(status, agreement) of a sense by two resources' French words.
+
+    Shared stems decide. Two resources that differ never do. A single one does if the votes' consensus is one
+    of its words and the back-translation returns to the sense.
+    """
+    a, b = F.transform(omw, fr_stem), F.transform(wonef, fr_stem)
+    to = lambda status, agreement: F.struct(F.lit(status).alias("status"), F.lit(agreement).alias("agreement"))
+    single = F.when(F.size(a) > 0, a).otherwise(b)
+    confirmed = F.coalesce(F.array_contains(single, consensus_stem), F.lit(False)) & F.coalesce(back_ok, F.lit(False))
+    return (
+        F.when(F.arrays_overlap(a, b), to("auto_strong", "concordantes"))
+        .when((F.size(a) > 0) & (F.size(b) > 0), to("pending", "divergentes"))
+        .when((F.size(a) > 0) | (F.size(b) > 0), F.when(confirmed, to("auto_strong", "source_unique")).otherwise(to("pending", "source_unique")))
+        .otherwise(to("pending", "aucune_source"))
     )
 
 
+def lock(entries: DataFrame) -> DataFrame:
+    """(key, fr) of the entries whose translation must not change by itself."""
+    return entries.where(F.col("status").isin(*EXPORTABLE) & (F.coalesce("fr", F.lit("")) != "")).select("key", "fr")
+
+
 def consensus(votes: DataFrame, keys: list[str], vote: str, order: str, least: int = 2) -> DataFrame:
     """The vote given most often, at least `least` times; of equals the first seen."""
     counted = votes.groupBy(*keys, vote).agg(F.count("*").alias("n"), F.min(order).alias("first"))

@@ -24,15 +24,16 @@ CASE WHEN toxic = 1 THEN 'rejected' WHEN quality = 0 THEN 'pending' WHEN d.doc_i
 FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
 
 
-@query(f"""WITH {ENTRIES_SQL} SELECT doc_id, CASE WHEN n_chars < 200 THEN 'pending/frontier_sans_reponse' WHEN quality = 0 AND toxic = 0 AND doc_id % 2 = 0 THEN 'pending/sense_id_suspect'
-WHEN quality = 0 THEN 'pending/frontier_douteux' WHEN lang = 'de' THEN 'pending/frontier_non_equivalence' WHEN n_chars < 700 THEN 'pending/frontier_faible'
-WHEN lang <> 'en' THEN 'auto_llm/frontier_sans_ressource' WHEN doc_id % 5 < 3 THEN 'auto_strong/frontier_concordant' ELSE 'pending/frontier_desaccord' END AS decision FROM entries""")
+@query(f"""WITH {ENTRIES_SQL} SELECT doc_id, CASE WHEN n_chars < 200 THEN 'frontier_sans_reponse' WHEN quality = 0 AND toxic = 0 AND doc_id % 2 = 0 THEN 'sense_id_suspect'
+WHEN quality = 0 THEN 'sense_id_douteux' WHEN lang = 'de' THEN 'frontier_explicitation' WHEN n_chars < 700 THEN 'frontier_confiance_faible'
+WHEN lang <> 'en' THEN 'frontier_sans_ressource' WHEN doc_id % 5 < 3 THEN 'frontier_concordant' ELSE 'frontier_desaccord' END AS agreement,
+CASE WHEN n_chars < 200 OR quality = 0 OR lang = 'de' OR n_chars < 700 THEN 'pending' WHEN lang <> 'en' THEN 'auto_llm' WHEN doc_id % 5 < 3 THEN 'auto_strong' ELSE 'pending' END AS status FROM entries""")
 def q_status_gate(spark: SparkSession, sf: str) -> DataFrame:
-    fit = F.when((F.col("quality") == 0) & (F.col("toxic") == 0) & (F.col("doc_id") % 2 == 0), "mismatch").when(F.col("quality") == 0, "doubtful").otherwise("match")
-    kind = F.when(F.col("lang") == "de", "gloss").otherwise("equivalence")
+    fit = F.when((F.col("quality") == 0) & (F.col("toxic") == 0) & (F.col("doc_id") % 2 == 0), "mismatch").when(F.col("quality") == 0, "doubtful").otherwise("ok")
+    kind = F.when(F.col("lang") == "de", "explicitation").otherwise("equivalence_directe")
     confidence = F.when(F.col("n_chars") < 700, "low").otherwise("high")
     decision = store.sense_decision(F.col("n_chars") >= 200, fit, kind, confidence, F.col("lang") == "en", F.col("doc_id") % 5 < 3)
-    return entries(spark, sf).select("doc_id", decision.alias("decision"))
+    return entries(spark, sf).select("doc_id", decision.alias("d")).select("doc_id", "d.agreement", "d.status")
 
 
 @query(f"""WITH {ENTRIES_SQL}, n AS (SELECT doc_id, 'auto_llm' AS status, source AS fr FROM documents WHERE doc_id % 2 = 0)
@@ -66,25 +67,50 @@ def signals() -> Column:
 SIGNALS_SQL = "(CASE WHEN n_chars > 800 THEN 1 ELSE 0 END + CASE WHEN lang = 'en' THEN 1 ELSE 0 END + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END)"
 
 
-@query(f"""WITH {ENTRIES_SQL} SELECT doc_id, {SIGNALS_SQL} AS n_signals, CASE WHEN {SIGNALS_SQL} >= 2 AND quality = 1 AND NOT (toxic = 1) THEN 'auto_corroborated'
-WHEN status = 'auto_strong' AND NOT (quality = 1 AND NOT (toxic = 1)) THEN 'pending' ELSE status END AS status FROM entries""")
+#: Validated entries count as decided; here the strong ones are taken as the machine's answers still to be tested.
+OPEN_SQL = "CASE WHEN status = 'auto_strong' THEN 'auto_llm' ELSE status END"
+A_SQL = f"""{ENTRIES_SQL}, o AS (SELECT *, {SIGNALS_SQL} AS n_signals, {OPEN_SQL} AS st, n_chars % 3 <> 0 AS sound FROM entries),
+a AS (SELECT *, CASE WHEN st IN ('pending', 'auto_llm') AND n_signals >= 2 AND sound THEN 'auto_corroborated' WHEN st = 'auto_llm' AND NOT sound THEN 'pending' ELSE st END AS after_a FROM o)"""
+
+
+def after_a(spark: SparkSession, sf: str) -> DataFrame:
+    rows = entries(spark, sf).withColumn("st", F.when(F.col("status") == "auto_strong", "auto_llm").otherwise(F.col("status"))).withColumn("n_signals", signals())
+    a = store.stage_a(F.col("n_signals"), F.col("n_chars") % 3 != 0, F.lit(False), F.col("st"), F.col("fr").isNotNull())
+    return rows.withColumn("after_a", a)
+
+
+@query(f"WITH {A_SQL} SELECT doc_id, n_signals, after_a FROM a")
 def q_signals_2_of_3(spark: SparkSession, sf: str) -> DataFrame:
-    n = signals()
-    status = store.stage_a(n, F.col("quality") == 1, F.col("toxic") == 1, F.col("status"))
-    return entries(spark, sf).select("doc_id", n.alias("n_signals"), status.alias("status"))
+    return after_a(spark, sf).select("doc_id", "n_signals", "after_a")
 
 
-@query(f"""WITH {ENTRIES_SQL}, b AS (SELECT doc_id, CASE WHEN ({SIGNALS_SQL} = 1 OR status = 'auto_llm') AND n_chars % 2 = 0 THEN 'auto_corroborated' ELSE status END AS b,
-  CASE WHEN lang = 'es' THEN 'no_equivalent' ELSE 'kept' END AS verdict, CASE WHEN n_chars > 2000 THEN 'high' ELSE 'low' END AS conf FROM entries)
-SELECT doc_id, b AS after_b, CASE WHEN verdict = 'no_equivalent' THEN 'no_equivalent' WHEN conf = 'high' THEN 'auto_judged'
-  WHEN b IN ('validated', 'auto_strong', 'auto_llm', 'auto_corroborated', 'auto_judged', 'auto_joint') THEN b ELSE 'pending' END AS after_c FROM b""")
+@query(f"""WITH {A_SQL}, b AS (SELECT *, CASE WHEN after_a IN ('pending', 'auto_llm') AND (n_signals = 1 OR (after_a = 'auto_llm' AND sound)) AND n_chars % 2 = 0 THEN 'auto_corroborated' ELSE after_a END AS after_b FROM a)
+SELECT doc_id, after_b, CASE WHEN after_b NOT IN ('pending', 'auto_llm') THEN after_b WHEN lang = 'es' THEN 'no_equivalent' WHEN n_chars > 2000 THEN 'auto_judged' ELSE 'pending' END AS after_c FROM b""")
 def q_stage_b_c(spark: SparkSession, sf: str) -> DataFrame:
-    rows = entries(spark, sf).withColumn("after_b", store.stage_b(signals(), F.col("n_chars") % 2 == 0, F.col("status")))
+    b = store.stage_b(F.col("n_signals"), F.col("n_chars") % 3 != 0, F.col("n_chars") % 2 == 0, F.lit(True), F.col("after_a"))
+    rows = after_a(spark, sf).withColumn("after_b", b)
     verdict = F.when(F.col("lang") == "es", "no_equivalent").otherwise("kept")
     confidence = F.when(F.col("n_chars") > 2000, "high").otherwise("low")
     return rows.select("doc_id", "after_b", store.stage_c(verdict, confidence, F.col("after_b")).alias("after_c"))
 
 
+STEM_SQL = "regexp_replace({}, '^(.{{3,}})[sx]$', '\\1')"
+
+
+@query(f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{{4,}}') AS w FROM documents),
+r AS (SELECT doc_id, list_transform(w[1:2], lambda x: {STEM_SQL.format('x')}) AS a, list_transform(w[2:4], lambda x: {STEM_SQL.format('x')}) AS b, {STEM_SQL.format('w[3]')} AS v, len(w) AS n FROM w),
+k AS (SELECT doc_id, n, v, CASE WHEN doc_id % 4 = 0 THEN [] ELSE a END AS a, CASE WHEN doc_id % 3 = 0 THEN [] ELSE b END AS b FROM r)
+SELECT doc_id, CASE WHEN len(list_intersect(a, b)) > 0 THEN 'concordantes' WHEN len(a) > 0 AND len(b) > 0 THEN 'divergentes' WHEN len(a) > 0 OR len(b) > 0 THEN 'source_unique' ELSE 'aucune_source' END AS agreement,
+  CASE WHEN len(list_intersect(a, b)) > 0 THEN 'auto_strong' WHEN len(a) > 0 AND len(b) > 0 THEN 'pending' WHEN (len(a) > 0 OR len(b) > 0) AND coalesce(list_contains(CASE WHEN len(a) > 0 THEN a ELSE b END, v), false) AND n % 2 = 0 THEN 'auto_strong' ELSE 'pending' END AS status FROM k""")
+def q_resource_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)).alias("w"))
+    none = F.array().cast("array<string>")
+    omw = F.when(F.col("doc_id") % 4 == 0, none).otherwise(F.slice("w", 1, 2))
+    wonef = F.when(F.col("doc_id") % 3 == 0, none).otherwise(F.slice("w", 2, 3))
+    d = store.resource_decision(omw, wonef, T.fr_stem(F.get("w", F.lit(2))), F.size("w") % 2 == 0)
+    return rows.select("doc_id", d.alias("d")).select("doc_id", "d.agreement", "d.status")
+
+
 HEAD_SQL = "heads AS (SELECT doc_id, lang, regexp_extract(lower(text), '[a-z]{4,}') AS head FROM documents)"
 
 
@@ -217,14 +243,14 @@ def q_stable_two_pass(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {ENTRIES_SQL}, p AS (SELECT doc_id, doc_id + 3 AS target, CASE WHEN doc_id % 4 = 0 THEN doc_id WHEN lang = 'de' THEN NULL ELSE doc_id + 3 END AS proposed FROM entries WHERE status = 'pending')
-SELECT p.doc_id, CASE WHEN p.proposed IS NULL THEN 'audit' WHEN p.proposed = p.doc_id THEN 'promu' WHEN t.status IN ('validated', 'auto_joint') THEN 'bloque' ELSE 'reassigne' END AS outcome
+SELECT p.doc_id, CASE WHEN p.proposed IS NULL THEN 'audit' WHEN p.proposed = p.doc_id THEN 'promu' WHEN t.status IN ('validated', 'auto_joint', 'auto_strong') THEN 'bloque' ELSE 'reassigne' END AS outcome
 FROM p LEFT JOIN entries t ON t.doc_id = p.proposed""")
 def q_reassign(spark: SparkSession, sf: str) -> DataFrame:
     rows = entries(spark, sf)
     proposed = F.when(F.col("doc_id") % 4 == 0, F.col("doc_id")).when(F.col("lang") != "de", F.col("doc_id") + 3)
     asked = rows.where("status = 'pending'").select("doc_id", proposed.alias("proposed"))
     target = rows.select(F.col("doc_id").alias("proposed"), F.col("status").alias("target_status"))
-    outcome = store.first_match((F.col("proposed").isNull(), "audit"), (F.col("proposed") == F.col("doc_id"), "promu"), (store.is_protected(F.col("target_status")), "bloque"), otherwise="reassigne")
+    outcome = store.first_match((F.col("proposed").isNull(), "audit"), (F.col("proposed") == F.col("doc_id"), "promu"), (F.coalesce(F.col("target_status").isin(*store.EXPORTABLE), F.lit(False)), "bloque"), otherwise="reassigne")
     return asked.join(target, "proposed", "left").select("doc_id", outcome.alias("outcome"))
 
 

@@ -164,13 +164,14 @@ def test_reassign(spark):
     after = {r.key: r for r in M.apply_reassignments(entries, classified).collect()}
     assert after["cling.v.03"].status == "auto_joint" and after["cling.v.03"].fr == "se cramponner" and after["cling.v.03"].occurrences == 4
     assert after["hang.v.01"].status == "pending" and after["hang.v.01"].agreement == "reassigne_vers:cling.v.03"
+    assert after["cling.v.03"].agreement == "auto_joint_reassigne_depuis:hang.v.01" and after["cling.v.03"].lemmas_en == ["cling", "hang"]
     assert after["beat.n.08"].status == "auto_joint" and after["beat.n.08"].agreement == "auto_joint_confirme"
     assert after["mwe:give out:phrasal_verb"].fr == "tomber en panne"
     assert after["shut.v.01"].fr == "fermer" and after["lock.v.01"].status == "pending"
 
 
 def test_targets_protection_and_judgments(spark):
-    rows = [("a", "pending", "sense_id_suspect"), ("b", "pending", "frontier_sans_ressource"), ("c", "auto_strong", "x"), ("d", "pending", "frontier_desaccord")]
+    rows = [("a", "pending", "sense_id_suspect"), ("b", "pending", "frontier_sans_ressource"), ("c", "auto_strong", "x"), ("d", "pending", "frontier_desaccord")]  # the cases of the fixture
     df = spark.createDataFrame(rows, "key string, status string, agreement string")
     assert [r.key for r in M.reassign_targets(df).collect()] == ["a"]
     for status, expected in (("validated", True), ("auto_joint", True), ("pending", False), ("auto_strong", False), (None, False)):
@@ -188,14 +189,28 @@ def test_targets_protection_and_judgments(spark):
 
 
 def test_commit_collisions_signals(spark):
-    entries = spark.createDataFrame([("a.n.01", "pending", None, None, None), ("b.n.01", "pending", None, None, None), ("c.n.01", "validated", "x", None, None)], "key string, status string, fr string, decided_by string, decided_at string")
-    asked = spark.createDataFrame(
-        [(1, "a.n.01", "no", None, None), (2, "a.n.01", "ok", None, "eau"), (3, "b.n.01", "ok", None, " "), (4, "z.n.01", "ok", None, "y"), (5, "c.n.01", "reassign", "c.n.01", None)],
-        "n int, key string, decision string, reassigner_vers string, fr_final string",
+    entries = spark.createDataFrame(
+        [(k, "synset", "n", ["w " + k], n, st_, "x", fr, None, None) for k, n, st_, fr in (("a.n.01", 1, "pending", None), ("b.n.01", 2, "pending", None), ("c.n.01", 3, "validated", "x"), ("d.n.01", 4, "pending", None))]
+        + [("mwe:give up:idiome", "mwe", None, ["give up"], 5, "pending", "x", None, None, None)],
+        STORE + ", decided_by string, decided_at string",
     )
-    after, errors = M.commit(entries, asked, "2024-01-01")
-    assert {r.key: (r.status, r.fr, r.decided_by) for r in after.collect()} == {"a.n.01": ("validated", "eau", "human"), "b.n.01": ("pending", None, None), "c.n.01": ("validated", "x", None)}
-    assert {r.key: r.error for r in errors.collect()} == {"b.n.01": "no translation", "z.n.01": "unknown key", "c.n.01": "same key"}
+    asked = [
+        (1, "a.n.01", "no", None, None), (2, "a.n.01", "OK ", None, "eau"), (3, "b.n.01", "ok", None, " "), (4, "z.n.01", "ok", None, "y"), (5, "d.n.01", "ok", "c.n.01", "neuf"), (6, "c.n.01", "maybe", None, None),
+        (7, "mwe:give up:idiome", "ok", "c.n.01", "x"), (8, "b.n.01", "no", "c.n.01", "x"), (9, "b.n.01", "ok", "c.n.01", None), (10, "b.n.01", "ok", "q.n.01", "x"), (11, "b.n.01", None, None, None),
+        (12, "b.n.01", "ok", "mwe:full stop:idiome", "point"),
+    ]
+    asked = spark.createDataFrame(asked, "n int, key string, decision string, reassigner_vers string, fr_final string")
+    known = spark.createDataFrame([("c.n.01",)], "sense_id string")
+    after, errors = M.commit(entries, asked, known, "2024-01-01")
+    got = {r.key: (r.status, r.fr, r.decided_by, r.occurrences, r.kind) for r in after.collect()}
+    assert got == {
+        "a.n.01": ("validated", "eau", "human", 1, "synset"), "b.n.01": ("pending", None, None, 2, "synset"), "c.n.01": ("validated", "neuf", "human", 4, "synset"), "d.n.01": ("pending", None, None, 4, "synset"),
+        "mwe:give up:idiome": ("pending", None, None, 5, "mwe"), "mwe:full stop:idiome": ("validated", "point", "human", 2, "mwe"),
+    }
+    assert sorted(r.result for r in errors.collect()) == [
+        "error: a move needs a translation", "error: a move needs ok", "error: bad target", "error: invalid decision", "error: ok needs a translation", "error: only senses move", "error: unknown key",
+    ]
+    assert sorted(tuple(r) for r in M.corrections(M.judge_commits(asked, entries, known), entries).collect()) == [("w b.n.01", "n", "b.n.01", "mwe:full stop:idiome"), ("w d.n.01", "n", "d.n.01", "c.n.01")]
     senses_ = spark.createDataFrame([("a.n.01", "synset", "pending", "le chien", ["dog"]), ("a.n.02", "synset", "validated", "chiens", ["dog", "hound"]), ("a.v.01", "synset", "validated", "chien", ["dog"])], "key string, kind string, status string, fr string, lemmas_en array<string>")
     assert [tuple(r) for r in M.collisions(senses_).collect()] == [("a.n.01", "a.n.02")]
     rows = spark.createDataFrame([("k", "chien", None, ["chiens"], ["chat"]), ("m", None, None, ["x"], [])], "key string, fr string, fr_alt array<string>, resources array<string>, apertium array<string>")
@@ -205,3 +220,14 @@ def test_commit_collisions_signals(spark):
     assert M.flagged(flagged).count() == 1
     with pytest.raises(ValueError):
         M.quota_cases(spark.createDataFrame([("a", "s")], "key string, stratum string"), {"s": 2})
+
+
+def test_resource_decisions(spark):
+    cases = [
+        (["chien"], ["chiens"], None, None, "auto_strong/concordantes"), (["chien"], ["chat"], "chien", True, "pending/divergentes"), (["chien"], [], "chien", True, "auto_strong/source_unique"),
+        (["chien"], [], "chien", False, "pending/source_unique"), ([], ["chat"], "chien", True, "pending/source_unique"), ([], [], "chien", True, "pending/aucune_source"),
+    ]
+    df = spark.createDataFrame([(i, *c[:4]) for i, c in enumerate(cases)], "i int, a array<string>, b array<string>, v string, ok boolean")
+    d = store.resource_decision(F.col("a"), F.col("b"), F.col("v"), F.col("ok"))
+    got = {r.i: f"{r.d.status}/{r.d.agreement}" for r in df.select("i", d.alias("d")).collect()}
+    assert [got[i] for i in range(len(cases))] == [c[4] for c in cases]
