@@ -170,3 +170,28 @@ def snippet(text: Column, start: Column, end: Column, around: int = 180) -> Colu
     a = F.greatest(start - around, F.lit(0))
     b = F.least(end + around, F.length(text))
     return F.trim(F.regexp_replace(F.substring(text, a + 1, b - a), r"\s+", " "))
+
+
+def highlighted(text: Column, forms: list[str], before: str = "<mark>", after: str = "</mark>") -> Column:
+    """The text as HTML, with whole-word occurrences of the forms marked, the longest first, whatever their case."""
+    import re
+
+    safe = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    if not forms:
+        return safe
+    pattern = "|".join(re.escape(f) for f in sorted(forms, key=lambda f: (-len(f), f)))
+    return F.regexp_replace(safe, rf"(?i)\b({pattern})\b", f"{before}$1{after}")
+
+
+def sentence_span(tokens: Column, sentence: Column, least: int = 4) -> Column:
+    """(start, end) of a sentence's tokens in a token array: all of them, else their longest beginning of at least `least`; null if none.
+
+    Both are arrays of normalised tokens, given as columns of their own.
+    """
+    n = F.size(sentence)
+    sizes = F.when(n >= least, F.reverse(F.sequence(F.lit(least), n))).otherwise(F.array(n))
+    starts = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1)).otherwise(F.array().cast("array<int>"))
+    place = lambda k: F.get(F.filter(starts, lambda s: F.slice(tokens, s + 1, k) == F.slice(sentence, F.lit(1), k)), F.lit(0))
+    found = F.filter(F.transform(sizes, lambda k: F.struct(place(k).alias("start"), k.alias("k"))), lambda x: x["start"].isNotNull())
+    best = F.get(found, F.lit(0))
+    return F.when(best.isNotNull() & (n > 0), F.struct(best["start"].alias("start"), (best["start"] + best["k"]).alias("end")))
