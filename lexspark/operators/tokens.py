@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -48,11 +48,12 @@ def ngrams(rows: DataFrame, id_col: str, n: int) -> DataFrame:
     return wide.where(F.col(last).isNotNull()).select(id_col, "pos", F.concat_ws(" ", "word", *[f"w{k}" for k in range(1, n)]).alias("gram"))
 
 
-def array_ngrams(word_array: Column, n: int) -> Column:
-    """The runs of n words of an array, without a shuffle."""
-    last = F.size(word_array) - n
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(word_array, i + 1, n), " ").alias("gram")))
+def array_grams(texts: DataFrame, word_array: str, n: int, *keep: str) -> DataFrame:
+    """(keep..., pos, gram) of the runs of n words of an array column: shifted copies are zipped, so no shuffle and no look-up by place."""
+    size = F.size(word_array)
+    shifted = [F.slice(word_array, k + 1, F.greatest(size - k, F.lit(0))).alias(f"w{k}") for k in range(n)]
+    rows = texts.select(*keep, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z")).where(f"z.w{n - 1} IS NOT NULL")
+    return rows.select(*keep, "pos", F.concat_ws(" ", *[f"z.w{k}" for k in range(n)]).alias("gram"))
 
 
 def gapped(rows: DataFrame, id_col: str, first: str, second: str, slop: int = 2) -> DataFrame:

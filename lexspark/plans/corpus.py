@@ -121,8 +121,8 @@ GRAMS_SQL = """g3 AS (SELECT doc_id, pos, word || ' ' || w1 || ' ' || w2 AS gram
 
 
 def doc_grams(spark: SparkSession, sf: str, n: int) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang", T.words(F.col("text")).alias("w"))  # a column of its own: lambdas would find the words anew for each place
-    return docs.select("doc_id", "lang", F.explode(tok.array_ngrams(F.col("w"), n)).alias("g")).select("doc_id", "lang", "g.pos", "g.gram")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", T.words(F.col("text")).alias("w"))
+    return tok.array_grams(docs, "w", n, "doc_id", "lang")
 
 
 @query(f"""WITH {WORDS_SQL}, {GRAMS_SQL}
@@ -155,7 +155,7 @@ def passage_spans(spark: SparkSession, sf: str) -> DataFrame:
     key = lambda c: F.array_join(F.slice(c, 1, 5), " ")
     items = table(spark, sf, "benchmark").select("item_id", T.words(F.col("text")).alias("w")).where("size(w) >= 5").select("item_id", "w", key(F.col("w")).alias("gram"))
     docs = table(spark, sf, "documents").select("doc_id", T.words(F.col("text")).alias("dw"))
-    places = docs.select("doc_id", F.explode(tok.array_ngrams(F.col("dw"), 5)).alias("g")).select("doc_id", "g.pos", "g.gram")
+    places = tok.array_grams(docs, "dw", 5, "doc_id")
     hits = places.join(items, "gram").join(docs, "doc_id")
     whole = F.slice("dw", F.col("pos") + 1, F.size("w")) == F.col("w")
     return hits.where(whole).select("doc_id", "item_id", F.col("pos").alias("start"), (F.col("pos") + F.size("w")).alias("end"))
