@@ -16,10 +16,12 @@ rows. A null id never names a component unless all its ids are null. Further col
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ FREE_BYTES = (
 )
 #: Lists up to this long are compared pair by pair.
 PAIRWISE = 256
+#: Of longer lists up to this long the links are kept between rounds.
+KEPT_LINKS = 20_000
 
 
 def fingerprint(text: str | None) -> int:
@@ -86,17 +90,20 @@ def _flip_links(values: np.ndarray, free: tuple[int, ...]) -> tuple[np.ndarray,
     bits = [np.uint64(1) << np.uint64(8 * (7 - p) + b) for p in free for b in range(8)]
     masks = bits + [a | b for a, b in combinations(bits, 2)]
     label = np.arange(len(values))
-    near = []
-    for mask in masks:
-        other = values ^ mask
-        at = np.searchsorted(values, other)
-        at[at == len(values)] = 0
-        hit = np.flatnonzero((values[at] == other) & (at > np.arange(len(values))))
-        if len(hit):
-            near.append((hit, at[hit]))
+
+    def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for mask in masks:
+            other = values ^ mask
+            at = np.searchsorted(values, other)
+            at[at == len(values)] = 0
+            hit = np.flatnonzero((values[at] == other) & (at > np.arange(len(values))))
+            if len(hit):
+                yield hit, at[hit]
+
+    found = list(near()) if len(values) <= KEPT_LINKS else None  # found anew each round rather than kept beyond that
     while True:
         before = label.copy()
-        for a, b in near:
+        for a, b in near() if found is None else found:
             least = np.minimum(label[a], label[b])
             np.minimum.at(label, a, least)
             np.minimum.at(label, b, least)
@@ -107,28 +114,36 @@ def _flip_links(values: np.ndarray, free: tuple[int, ...]) -> tuple[np.ndarray,
     return member, label[member]
 
 
-def list_links(fps: list[int], slot: int) -> list[tuple[int, int]]:
-    """Links inside one list: a spanning forest of its pairs within MAX_BITS."""
+def list_links(fps: np.ndarray, slot: int) -> np.ndarray:
+    """Links inside one list of signed fingerprints: a spanning forest of its pairs within MAX_BITS, as rows (u, v)."""
     if len(fps) == 2:
-        x = (fps[0] ^ fps[1]) & 0xFFFFFFFFFFFFFFFF
+        x = (int(fps[0]) ^ int(fps[1])) & 0xFFFFFFFFFFFFFFFF
         shared = sum(not x >> 8 * k & 255 for k in range(8))
-        return [(fps[0], fps[1])] if shared >= MIN_SHARED and x.bit_count() <= MAX_BITS else []
-    values = np.sort(np.array(fps, np.int64).view(np.uint64))
+        return fps.reshape(1, 2) if shared >= MIN_SHARED and x.bit_count() <= MAX_BITS else fps[:0].reshape(0, 2)
+    values = np.sort(fps.view(np.uint64))
     if len(values) <= PAIRWISE:
         x = values[:, None] ^ values[None, :]
         shared = (x.reshape(-1, 1).view(np.uint8) == 0).sum(axis=1).reshape(x.shape)
         a, b = np.nonzero(np.triu(shared >= MIN_SHARED, 1))
         good = np.bitwise_count(x[a, b]) <= MAX_BITS
-        pairs = _forest(len(values), list(zip(a[good].tolist(), b[good].tolist(), strict=True)))
+        pairs = np.array(_forest(len(values), list(zip(a[good].tolist(), b[good].tolist(), strict=True))), np.int64).reshape(-1, 2)
     else:
-        a, b = _flip_links(values, FREE_BYTES[slot])
-        pairs = list(zip(a.tolist(), b.tolist(), strict=True))
-    signed = values.view(np.int64).tolist()
-    return [(signed[a], signed[b]) for a, b in pairs]
+        pairs = np.stack(_flip_links(values, FREE_BYTES[slot]), axis=1)
+    return values.view(np.int64)[pairs]
 
 
-def _links_kernel() -> Callable[[list], dict]:
-    return lambda lists: {"links": [[{"u": a, "v": b} for a, b in list_links(x["fps"], x["slot"])] for x in lists]}
+def _links(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Of structs (slot, fps) the links of each list; fingerprints stay in numpy."""
+    pair = pa.struct([("u", pa.int64()), ("v", pa.int64())])
+    for array in arrays:
+        slots, lists = array.flatten()
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        found = [list_links(values[a:b], k) for a, b, k in zip([0, *ends[:-1].tolist()], ends.tolist(), slots.to_pylist(), strict=True)]
+        rows = np.concatenate([np.zeros((0, 2), np.int64), *found])
+        offsets = np.cumsum([0, *map(len, found)])
+        pairs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(rows[:, k])) for k in (0, 1)], fields=list(pair))
+        yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
 
 
 def index_links(fps: DataFrame) -> DataFrame:
@@ -140,8 +155,8 @@ def index_links(fps: DataFrame) -> DataFrame:
         keep.append(F.struct(F.lit(slot).cast("byte").alias("slot"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key")))
     entries = fps.select("fp", F.explode(F.array(*keep)).alias("e")).select("e.slot", "e.key", "fp")
     lists = entries.groupBy("slot", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    links = struct_kernel(_links_kernel, "links array<struct<u: long, v: long>>")(F.struct("slot", "fps"))
-    return lists.select(F.explode(links["links"]).alias("l")).select("l.u", "l.v")
+    links = F.arrow_udf(_links, "array<struct<u: long, v: long>>").asNondeterministic()(F.struct("slot", "fps"))
+    return lists.select(F.explode(links).alias("l")).select("l.u", "l.v")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

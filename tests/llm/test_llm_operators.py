@@ -520,11 +520,13 @@ def test_simhash_odd_rows(odd, empty):
     assert sum(r.doc_id is None for r in kept.collect()) == 1
 
 
-@pytest.mark.parametrize("pairwise", [256, 2])
+@pytest.mark.parametrize("pairwise", [256, 2, -2])
 def test_index_finds_all_links(spark, pairwise, monkeypatch):
     import random
 
-    monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
+    monkeypatch.setattr(simhash, "PAIRWISE", abs(pairwise))
+    if pairwise < 0:
+        monkeypatch.setattr(simhash, "KEPT_LINKS", 0)
     rng = random.Random(3)
     fps = [rng.getrandbits(64) for _ in range(300)]
     for f in fps[:120]:
