@@ -8,14 +8,30 @@ from pyspark.sql import functions as F
 #: Accented Latin letters and their bare ones.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďēęěğīįłńňōőŕřśšţťūůűźżžÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 BARE = "aaaaaaceeeeiiiinooooouuuuyyaaaccdeeegiilnnoorrssttuuuzzzAAAAAACEEEEIIIINOOOOOUUUUY"
-#: Lines that mark front matter.
-FRONT_MATTER = r"(?i)(copyright|all rights reserved|isbn|licensed under|first published|printed in|library of congress)"
+#: Patterns of lines that mark front matter, whatever their case.
+FRONT_MATTER_PATTERNS = (
+    r"\ball rights reserved\b",
+    r"\bno part of this (?:book|publication)\b",
+    r"\bphotocopying\b",
+    r"\bwithout (?:the )?(?:prior )?(?:written )?permission\b",
+    r"\bISBN\b",
+    r"\bLibrary of Congress\b",
+    r"\bpublished by\b",
+    r"\bfirst (?:published|edition)\b",
+    r"\bcopyright\b",
+    r"^\s*table of contents\s*$",
+    r"^\s*contents\s*$",
+    r"^\s*cast of characters\s*$",
+    r"^\s*acknowledg(e)?ments\s*$",
+)
+FRONT_MATTER = "(?i)" + "|".join(FRONT_MATTER_PATTERNS)
 #: How stage directions begin.
 STAGE_VERBS = r"^[A-Z][a-z]+ (walks|enters|exits|sits|stands|stares|looks)\b"
-#: French words without content.
-FR_STOP = ("le", "la", "les", "un", "une", "des", "du", "de", "et", "en", "se", "au", "aux", "à", "a")
-#: Grammar marks in parentheses that are no gloss.
-GRAMMAR_MARKS = ("m", "f", "n", "pl", "m pl", "f pl", "adj", "adv", "v", "vt", "vi")
+#: French words that are no head of a phrase, and further ones without content.
+HEAD_MARKERS = ("se", "s", "le", "la", "les", "l", "un", "une", "de", "du", "des", "d", "a", "à", "au", "aux", "en")
+STOP_WORDS = (*HEAD_MARKERS, "etre", "avoir", "que", "qui", "ce", "cette", "ces", "son", "sa", "ses", "qqn", "qqch")
+#: Parentheses that tell how a word is used and are no gloss.
+USAGE_MARKS = ("de", "d'", "a", "à", "au", "aux", "du", "des", "qqn", "qqch", "qqn.", "qqch.", "de qqch", "de qqn", "a qqn", "a qqch", "à qqn", "à qqch", "qqn de qqch", "se", "s'")
 
 
 def fold(c: Column) -> Column:
@@ -61,20 +77,25 @@ def normalize_phrase(c: Column) -> Column:
 
 
 def split_gloss(c: Column) -> Column:
-    """(head, gloss): the first parenthesis is the gloss unless it is a grammar mark."""
+    """(head, gloss): the first parenthesis is the gloss unless it is a usage mark."""
     inside = F.trim(F.regexp_extract(c, r"\(([^)]*)\)", 1))
     head = F.trim(F.regexp_replace(F.regexp_replace(c, r"\([^)]*\)", " "), " +", " "))
-    return F.struct(head.alias("head"), F.when((inside != "") & ~inside.isin(*GRAMMAR_MARKS), inside).alias("gloss"))
+    return F.struct(head.alias("head"), F.when((inside != "") & ~F.lower(inside).isin(*USAGE_MARKS), inside).alias("gloss"))
+
+
+def clean_tokens(c: Column) -> Column:
+    """Folded words without accents; hyphens and apostrophes part them."""
+    bare = F.regexp_replace(F.regexp_replace(strip_accents(fold(c)), "[-']", " "), "[^a-z0-9 ]", " ")
+    return F.filter(F.split(bare, " +"), lambda w: w != "")
 
 
 def content_tokens(c: Column) -> Column:
     """Stems of a phrase's words that carry content."""
-    parts = F.filter(F.split(normalize_phrase(F.regexp_replace(c, "[;/,]", " ")), " "), lambda w: (F.length(w) > 2) & ~w.isin(*FR_STOP))
-    return F.transform(parts, fr_stem)
+    return F.transform(F.filter(clean_tokens(c), lambda w: (F.length(w) > 2) & ~w.isin(*STOP_WORDS)), fr_stem)
 
 
 def head_stem(c: Column) -> Column:
-    return F.get(content_tokens(c), F.lit(0))
+    return fr_stem(F.get(F.filter(clean_tokens(c), lambda w: ~w.isin(*HEAD_MARKERS)), F.lit(0)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -92,8 +113,8 @@ def any_match(candidates: Column, resources: Column) -> Column:
 
 
 def back_translation_key(c: Column) -> Column:
-    """Without one leading article or particle and without outer punctuation."""
-    return F.regexp_replace(F.btrim(F.lower(c), F.lit(" .,;:!?\"'")), "^(to|the|a|an) ", "")
+    """Folded, without one leading article or particle, then without outer punctuation."""
+    return F.btrim(F.regexp_replace(F.trim(fold(c)), r"^(to|the|a|an)\s+", ""), F.lit(" .,;:!?\"'"))
 
 
 def clean_candidates(values: Column, english: Column) -> Column:

@@ -13,6 +13,22 @@ PROTECTED = ("validated", "auto_joint")
 EXPORTABLE = ("validated", "auto_strong", "auto_llm", "auto_corroborated", "auto_judged", "auto_joint")
 
 
+#: Agreements by urgency of review; others come with the middle ones.
+AGREEMENT_RANK = {"sense_id_non_resolu": 0, "aucune_source": 0, "mwe_sans_ressource": 0, "divergentes": 1, "source_unique": 2}
+
+
+def agreement_rank(agreement: Column) -> Column:
+    rank = F.lit(1)
+    for name, r in AGREEMENT_RANK.items():
+        rank = F.when(agreement == name, r).otherwise(rank)
+    return rank
+
+
+def review_order(store: DataFrame) -> DataFrame:
+    """Pending entries, the most urgent first, frequent ones first among these."""
+    return store.where("status = 'pending'").orderBy(agreement_rank(F.col("agreement")), F.desc("occurrences"), "key")
+
+
 def is_protected(status: Column) -> Column:
     return F.coalesce(status.isin(*PROTECTED), F.lit(False))
 

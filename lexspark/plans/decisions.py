@@ -167,17 +167,14 @@ def q_purge_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.unionByName(words).unionByName(labels)
 
 
-RANK_SQL = "CASE source WHEN 'src0' THEN 0 WHEN 'src1' THEN 2 ELSE 1 END"
+AGREE_SQL = "CASE source WHEN 'src0' THEN 'aucune_source' WHEN 'src1' THEN 'source_unique' ELSE 'divergentes' END"
 
 
-def source_rank() -> Column:
-    return F.when(F.col("source") == "src0", 0).when(F.col("source") == "src1", 2).otherwise(1)
-
-
-@query(f"WITH {ENTRIES_SQL} SELECT doc_id, {RANK_SQL} AS agreement_rank, n_chars FROM entries WHERE status = 'pending' ORDER BY {RANK_SQL}, n_chars DESC, doc_id LIMIT 200")
+@query(f"WITH {ENTRIES_SQL} SELECT doc_id AS key, {AGREE_SQL} AS agreement, n_chars AS occurrences FROM entries WHERE status = 'pending' ORDER BY CASE source WHEN 'src0' THEN 0 WHEN 'src1' THEN 2 ELSE 1 END, n_chars DESC, doc_id LIMIT 200")
 def q_review_queue(spark: SparkSession, sf: str) -> DataFrame:
-    rows = entries(spark, sf).where("status = 'pending'").select("doc_id", source_rank().alias("agreement_rank"), "n_chars")
-    return rows.orderBy("agreement_rank", F.desc("n_chars"), "doc_id").limit(200)
+    agreement = F.when(F.col("source") == "src0", "aucune_source").when(F.col("source") == "src1", "source_unique").otherwise("divergentes")
+    rows = entries(spark, sf).select(F.col("doc_id").alias("key"), "status", agreement.alias("agreement"), F.col("n_chars").alias("occurrences"))
+    return store.review_order(rows).limit(200).drop("status")
 
 
 @query(f"WITH {ENTRIES_SQL} SELECT doc_id FROM entries WHERE status = 'pending' AND source IN ('src1', 'src2', 'src3', 'src4') AND doc_id NOT IN (SELECT doc_id FROM entries WHERE n_chars < 500)")

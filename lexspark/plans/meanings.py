@@ -176,7 +176,7 @@ SELECT item_id, folded, translate(folded, 'àáâãäåçèéêëìíîïñòó
   trim(regexp_replace(regexp_replace(regexp_replace(translate(folded, 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '-', ' ', 'g'), '[^a-z0-9'' ]', ' ', 'g'), ' +', ' ', 'g')) AS phrase,
   array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(folded, '[a-z'']+'), lambda w: length(w) > 2))), ' ') AS content,
   regexp_matches(folded, '(ing|ed|ies|es|s)$') AS inflected,
-  regexp_replace(trim(lower(text), ' .,;:!?"'''), '^(to|the|a|an) ', '') AS back_key FROM f""")
+  trim(regexp_replace(trim(folded), '^(to|the|a|an)\s+', ''), ' .,;:!?"''') AS back_key FROM f""")
 def q_text_normalise(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("text")
     return table(spark, sf, "benchmark").select(

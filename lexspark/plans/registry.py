@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexspark.functions.text import FRONT_MATTER
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +19,7 @@ tok AS (SELECT doc_id, lang, source, unnest(w) AS word, unnest(range(len(w))) AS
 LINES_SQL = """docl AS (SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM documents),
 rawline AS (SELECT doc_id, lang, source, trim(unnest(l)) AS line, unnest(range(1, len(l) + 1)) AS line_no FROM docl),
 lines AS (SELECT * FROM rawline WHERE line <> '')"""
-FRONT_SQL = r"""regexp_matches(line, '(?i)(copyright|all rights reserved|isbn|licensed under|first published|printed in|library of congress)')"""
+FRONT_SQL = f"regexp_matches(line, '{FRONT_MATTER}')"
 NAME_SQL = r"""(regexp_matches(line, '\p{Lu}') AND NOT regexp_matches(line, '\p{Ll}') AND length(line) < 40)"""
 KIND_SQL = rf"""CASE WHEN {FRONT_SQL} THEN 'hors_oeuvre'
   WHEN (starts_with(line, '(') AND ends_with(line, ')')) OR regexp_matches(line, '^[A-Z][a-z]+ (walks|enters|exits|sits|stands|stares|looks)\b') THEN 'didascalie' ELSE 'dialogue' END"""
