@@ -6,9 +6,9 @@ chi-squared test of its alphabet's uniformity, a runs test about the alphabet's
 serial correlation. The least of the three p-values, times three, is the word's p-value.
 
 Words that a Benjamini-Hochberg step rejects as random are no secrets. The step is taken within each
-encoding and length class (powers of two), since short words give the tests less power; p-values are
-counted in steps of 1/RESOLUTION, so that the thresholds come from a table of bounded size. Words with
-fewer than MIN_BITS bits of their alphabet are not tested and not reported.
+encoding and length class (powers of two), since short words give the tests less power. It takes the
+p-values as they are: their ranks come from range partitions, ranked inside and then offset, so that no task
+holds a whole stratum. Words with fewer than MIN_BITS bits of their alphabet are not tested and not reported.
 
 Null and empty texts have no spans. Repeated rows and ties are judged row by row, an empty table gives an
 empty table, further columns are ignored.
@@ -40,7 +40,6 @@ ALPHABETS = {
     64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 MIN_BITS = 80.0
-RESOLUTION = 1000
 FDR = 0.05
 
 _SPAN = "array<struct<s: int, e: int, m: string>>"
@@ -131,19 +130,28 @@ def candidates(text: Column) -> Column:
             x["s"].alias("s"),
             x["e"].alias("e"),
             F.concat_ws("/", x["size"].cast("string"), F.floor(F.log2(F.length(body).cast("double"))).cast("string")).alias("stratum"),
-            (F.ceil(battery(codes, x["size"]) * RESOLUTION) / RESOLUTION).alias("p"),
+            battery(codes, x["size"]).alias("p"),
         )
 
     return F.transform(known, tested)
 
 
 def thresholds(tested: DataFrame) -> dict[str, float]:
-    """For each stratum of (stratum, p) rows, the largest rejected p-value. At most RESOLUTION rows a stratum are ordered."""
-    by_p = tested.groupBy("stratum", "p").agg(F.count("*").alias("n"))
-    w = W.partitionBy("stratum")
-    ranked = by_p.select("stratum", "p", F.sum("n").over(w.orderBy("p")).alias("rank"), F.sum("n").over(w).alias("m"))
-    rows = ranked.where(F.col("p") <= F.col("rank") * FDR / F.col("m")).groupBy("stratum").agg(F.max("p").alias("p")).collect()
-    return {r.stratum: r.p for r in rows}
+    """For each stratum of (stratum, p) rows, the largest rejected p-value.
+
+    No p above FDR can be rejected, so the others are only counted. Ranks are taken in two steps: inside a
+    range of (stratum, p), then over the counts of the ranges, of which a stratum has no more than there are partitions.
+    """
+    sizes = tested.groupBy("stratum").agg(F.count("*").alias("m"))
+    by_p = tested.where(F.col("p") <= FDR).groupBy("stratum", "p").agg(F.count("*").alias("n"))
+    placed = checkpointed(by_p.repartitionByRange("stratum", "p").withColumn("part", F.spark_partition_id()))
+    counts = placed.groupBy("stratum", "part").agg(F.sum("n").alias("own"))
+    before = (F.sum("own").over(W.partitionBy("stratum").orderBy("part")) - F.col("own")).alias("before")
+    inside = F.sum("n").over(W.partitionBy("stratum", "part").orderBy("p")).alias("inside")
+    ranked = placed.select("stratum", "part", "p", inside).join(F.broadcast(counts.select("stratum", "part", before)), ["stratum", "part"])
+    rank = F.col("before") + F.col("inside")
+    rejected = ranked.join(F.broadcast(sizes), "stratum").where(F.col("p") <= rank * FDR / F.col("m"))
+    return {r.stratum: r.p for r in rejected.groupBy("stratum").agg(F.max("p").alias("p")).collect()}
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

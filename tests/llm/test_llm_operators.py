@@ -439,6 +439,40 @@ def test_battery_tells_random_from_regular(spark):
     assert all(r["spans"] == f"random:4:{4 + len(w)}" for r, w in zip(rows[:60], words, strict=False) if r["n_random"])
 
 
+def test_thresholds_are_exact_benjamini_hochberg(spark):
+    import random
+
+    rng = random.Random(8)
+    strata = {
+        "rare": [rng.random() for _ in range(9_900)] + [1e-12] * 100,
+        "mixed": [rng.random() ** 4 for _ in range(3_000)],
+        "ties": [0.0] * 3 + [0.01] * 40 + [0.5] * 100,
+        "random": [0.3 + 0.7 * rng.random() for _ in range(500)],
+    }
+    expected = {}
+    for name, own in strata.items():
+        hit = [p for k, p in enumerate(sorted(own), 1) if p <= k * secret_battery.FDR / len(own)]
+        if hit:
+            expected[name] = hit[-1]
+    table = spark.createDataFrame([(k, p) for k, own in strata.items() for p in own], "stratum string, p double")
+    assert secret_battery.thresholds(table) == expected
+    assert expected["rare"] >= 1e-12 and "random" not in expected
+
+
+def test_few_regular_words_among_many_keys(spark):
+    import random
+    import string
+
+    rng = random.Random(9)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(299)]
+    regular = ["0123456789ABCDEFGHIJKabc"]
+    texts = [" ".join(keys[k : k + 15]) for k in range(0, len(keys), 15)] + [f"see {w} there" for w in regular]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = rows_of(secret_battery.find_secrets(table))
+    assert sum(r["n_random"] for r in rows[:-1]) > 280
+    assert rows[-1]["n_random"] == 0
+
+
 # ---- 9
 
 
