@@ -1,7 +1,8 @@
 """Quality rules: compression bands.
 
 Zstandard ratios (compressed size over raw size) of the whole text and of fixed chunks are held against
-limits for the text's length. Below its band a text is repetitive, above it is incompressible.
+limits for the text's length; the last chunk ends at the text's end, overlapping the one before where the
+length isn't a multiple. Below its band a text is repetitive, above it is incompressible.
 
 Nulls and empty texts have no words and fail the base rule. Repeated rows and ties are judged row by row,
 an empty table gives an empty table, further columns are passed through untouched.
@@ -109,7 +110,9 @@ def kernel(bands: Bands) -> Callable[[], Callable[[list], dict]]:
             symbols = sum(map(text.count, SYMBOLS))
             repeats = repeated_words(words)
             ratio = len(compress(raw)) / len(raw) if raw else 0.0
-            chunks = range(0, len(raw) - bands.chunk_bytes + 1, bands.chunk_bytes)
+            chunks = [*range(0, len(raw) - bands.chunk_bytes + 1, bands.chunk_bytes)]
+            if chunks and len(raw) % bands.chunk_bytes:
+                chunks.append(len(raw) - bands.chunk_bytes)
             odd = sum(not bands.chunk_low <= len(compress(raw[a : a + bands.chunk_bytes])) / bands.chunk_bytes <= bands.chunk_high for a in chunks)
             low, high = next(((lo, hi) for least, lo, hi in reversed(bands.whole) if len(raw) >= least), (0.0, float("inf")))
             failed = n < bands.min_words or 100 * repeats > bands.max_repeat_percent * n

@@ -205,6 +205,18 @@ def test_bands_reject_blobs_and_loops():
     assert judge([blob, loop])["kept"] == (False, False)
 
 
+def test_bands_see_the_tail():
+    import random
+
+    rng = random.Random(2)
+    judge = quality_bands.kernel(quality_bands.Bands())()
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(900))
+    blob = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(2048))
+    out = judge([prose[:4095], prose[:2048] + blob[:2047], prose[:2048] + blob, prose[:2048]])
+    assert out["kept"] == (True, False, False, True)
+    assert out["n_chunks"] == (2, 2, 2, 1)
+
+
 @pytest.mark.parametrize("n,base", [(40, 3), (500, 6), (9000, 8000)])
 def test_repeated_words(n, base):
     import random
