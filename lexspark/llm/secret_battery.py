@@ -1,21 +1,25 @@
 """Secret scans: fixed patterns, and a randomness test battery. DataFrame functions only.
 
 The patterns give the base spans. Beside them, every long word whose characters fit an encoding (hex,
-base32, base36, base62, base64) is tested for what a random string of that encoding would show: a
-chi-squared test of its alphabet's uniformity, a runs test about the alphabet's middle and a test of
-serial correlation. The least of the three p-values, times three, is the word's p-value.
+base32, base36, base62, base64) is tested for what a random string of that encoding would show: chi-squared
+tests of its alphabet's uniformity, over kinds of characters and, for long words, over places in the alphabet, a
+runs test about the alphabet's middle and a test of serial correlation. The least of the p-values, times the
+number of tests, is the word's p-value.
 
 Words that a Benjamini-Hochberg step rejects as random are no secrets. The step is taken within each
 encoding and length class (powers of two), since short words give the tests less power. It takes the
 p-values as they are: their ranks come from range partitions, ranked inside and then offset, so that no task
 holds a whole stratum. Words with fewer than MIN_BITS bits of their alphabet are not tested and not reported.
 
-Null and empty texts have no spans. Repeated rows and ties are judged row by row, an empty table gives an
-empty table, further columns are ignored.
+The work on a text grows with its length, by a logarithm faster where it has many words: a word is tested by
+string functions and one fold, places and overlaps come from running sums in doubling steps. Very long texts and
+words are tested whole. Null and empty texts have no spans. Repeated rows and ties are judged row by row, an
+empty table gives an empty table, further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,23 +45,39 @@ ALPHABETS = {
 }
 MIN_BITS = 80.0
 FDR = 0.05
+#: Places in the alphabet are tested from this length on; eight bins, as many as a character's mark allows for.
+LONG = 40
+PLACE_BINS = 8
 
-_SPAN = "array<struct<s: int, e: int, m: string>>"
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], start: Column) -> Column:
+    """merge of all values up to each, in doubling steps; start is merge's neutral value."""
+
+    def step(done: Column, k: Column) -> Column:
+        far = F.least(F.pow(F.lit(2), k).cast("int"), F.size(done))
+        return F.zip_with(done, F.concat(F.array_repeat(start, far), F.slice(done, F.lit(1), F.size(done) - far)), merge)
+
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int")
+    steps = F.when(rounds > 0, F.sequence(F.lit(0), rounds - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, values, step)
 
 
 def spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their places in code points; places follow from the gaps' lengths."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))
-    pairs = F.filter(both, lambda x: x["hit"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
 
-    def step(done: Column, x: Column) -> Column:
-        s = done["at"] + F.length(x["gap"])
-        e = s + F.length(x["hit"])
-        return F.struct(e.alias("at"), F.concat(done["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["hit"].alias("m")))).alias("out"))
+    def placed(hits: Column) -> Column:
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, m: g + F.length(m))
+        ends = running(lengths, lambda a, b: a + b, F.lit(0))
+        return F.zip_with(hits, ends, lambda m, e: F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m")))
 
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda done: done["out"])).otherwise(F.array().cast(_SPAN))
+    found = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: let(hits, placed))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<s: int, e: int, m: string>>"))
 
 
 def encoding(word: Column) -> Column:
@@ -72,6 +92,22 @@ def encoding(word: Column) -> Column:
     )
 
 
+def kind_marks(size: int) -> str:
+    """A mark for each character of an alphabet: fours of hex digits; else vowels, capitals, small letters, others."""
+    if size == 16:
+        return "".join(str(k // 4) for k in range(16))
+    return "".join("0" if c in "aeiouAEIOU" else "1" if c.isupper() else "2" if c.islower() else "3" for c in ALPHABETS[size])
+
+
+def place_marks(size: int) -> str:
+    """The bin of each place of an alphabet; bins differ by one place at most."""
+    return "".join(str(k * PLACE_BINS // size) for k in range(size))
+
+
+def half_marks(size: int) -> str:
+    return "".join("1" if 2 * k >= size else "0" for k in range(size))
+
+
 def _upper_tail(z: Column) -> Column:
     """Of the normal distribution, to three digits."""
     return 1 / (1 + F.exp(F.least(F.greatest(1.5976 * z + 0.07056 * z * z * z, F.lit(-60.0)), F.lit(60.0))))
@@ -81,40 +117,73 @@ def _two_sided(z: Column) -> Column:
     return 2 * _upper_tail(F.abs(z))
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+def _count(word: Column, part: str) -> Column:
+    """How often part occurs in word, without overlaps."""
+    return ((F.length(word) - F.length(F.replace(word, F.lit(part), F.lit("")))) / len(part)).cast("double")
+
+
+def chi_squared(word: Column, marks: str, size: int) -> Column:
+    """The p-value of a uniform alphabet, over the bins that marks name (Wilson and Hilferty's approximation)."""
+    names = sorted(set(marks))
+    df = len(names) - 1
+
+    def test(marked: Column) -> Column:
+        n = F.length(marked).cast("double")
+        terms = []
+        for name in names:
+            expected = n * (marks.count(name) / size)
+            off = _count(marked, name) - expected
+            terms.append(off * off / expected)
+        spread = 2 / (9 * df)
+        return _upper_tail((F.pow(reduce(lambda a, b: a + b, terms) / df, F.lit(1 / 3)) - (1 - spread)) / spread**0.5)
+
+    return let(F.translate(word, ALPHABETS[size], marks), test)
 
 
-def battery(codes: Column, size: Column) -> Column:
-    """The p-value of a word as a random string: codes are its characters' places in an alphabet of that size."""
-    n = F.size(codes).cast("double")
-    bins = F.when(n < 40, 4).otherwise(8)
-    edge = lambda b: F.ceil(b * size / bins)
+def runs_test(word: Column, size: int) -> Column:
+    """Of runs above and below the alphabet's middle; zero where a word keeps to one half."""
 
-    def term(b: Column) -> Column:
-        expected = n * (edge(b + 1) - edge(b)) / size
-        seen = F.size(F.filter(codes, lambda v: (v >= edge(b)) & (v < edge(b + 1)))).cast("double")
-        return (seen - expected) * (seen - expected) / expected
+    def test(marked: Column) -> Column:
+        n = F.length(marked).cast("double")
+        above = _count(marked, "1")
+        middle = 2 * above * (n - above) / n + 1
+        var = (middle - 1) * (middle - 2) / (n - 1)
+        runs = _count(marked, "01") + _count(marked, "10") + 1
+        return F.when(var > 0, _two_sided((runs - middle) / F.sqrt(var))).otherwise(0.0)
 
-    df = (bins - 1).cast("double")
-    chi = _sum(F.transform(F.sequence(F.lit(0), (bins - 1).cast("int")), term))
-    spread = 2 / (9 * df)
-    uniform = _upper_tail((F.pow(chi / df, 1 / 3) - (1 - spread)) / F.sqrt(spread))
+    return let(F.translate(word, ALPHABETS[size], half_marks(size)), test)
 
-    first, second = F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1)
-    high = lambda v: v * 2 >= size
-    above = F.size(F.filter(codes, high)).cast("double")
-    below = n - above
-    runs = 1.0 + _sum(F.zip_with(first, second, lambda a, b: F.when(high(a) != high(b), 1.0).otherwise(0.0)))
-    middle = 2 * above * below / n + 1
-    var = (middle - 1) * (middle - 2) / (n - 1)
-    mixed = F.when(var > 0, _two_sided((runs - middle) / F.sqrt(var))).otherwise(0.0)
 
-    mean = _sum(F.transform(codes, lambda v: v.cast("double"))) / n
-    around = _sum(F.transform(codes, lambda v: (v - mean) * (v - mean)))
-    joint = _sum(F.zip_with(first, second, lambda a, b: (a - mean) * (b - mean)))
-    unrelated = F.when(around > 0, _two_sided((joint / around + 1 / n) * F.sqrt(n))).otherwise(0.0)
-    return F.least(F.lit(1.0), 3 * F.least(uniform, mixed, unrelated))
+def serial_test(word: Column, size: int) -> Column:
+    """Of the correlation of neighbours' places in the alphabet; one fold carries all sums."""
+    codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: (F.instr(F.lit(ALPHABETS[size]), c) - 1).cast("double"))
+    start = F.struct(*[F.lit(0.0).alias(k) for k in ("n", "sum", "squares", "joint", "first", "last")])
+
+    def step(a: Column, v: Column) -> Column:
+        return F.struct(
+            (a["n"] + 1).alias("n"),
+            (a["sum"] + v).alias("sum"),
+            (a["squares"] + v * v).alias("squares"),
+            (a["joint"] + a["last"] * v).alias("joint"),
+            F.when(a["n"] == 0, v).otherwise(a["first"]).alias("first"),
+            v.alias("last"),
+        )
+
+    def test(a: Column) -> Column:
+        n, mean = a["n"], a["sum"] / a["n"]
+        around = a["squares"] - n * mean * mean
+        joint = a["joint"] - mean * (2 * a["sum"] - a["first"] - a["last"]) + (n - 1) * mean * mean
+        return F.when(around > 1e-9, _two_sided((joint / around + 1 / n) * F.sqrt(n))).otherwise(0.0)
+
+    return let(F.aggregate(codes, start, step), test)
+
+
+def battery(word: Column, size: int) -> Column:
+    """The p-value of a word as a random string of the alphabet of that size."""
+    always = [chi_squared(word, kind_marks(size), size), runs_test(word, size), serial_test(word, size)]
+    longer = [*always, chi_squared(word, place_marks(size), size)]
+    least = lambda tests: F.least(F.lit(1.0), len(tests) * F.least(*tests))
+    return F.when(F.length(word) < LONG, least(always)).otherwise(least(longer))
 
 
 def candidates(text: Column) -> Column:
@@ -124,14 +193,13 @@ def candidates(text: Column) -> Column:
 
     def tested(x: Column) -> Column:
         body = F.rtrim(F.translate(F.when(x["size"] == 16, F.lower(x["m"])).otherwise(x["m"]), "-_", "+/"), F.lit("="))
-        alphabet = reduce(lambda c, kv: c.when(x["size"] == kv[0], F.lit(kv[1])), ALPHABETS.items(), F.when(F.lit(False), ""))
-        codes = F.transform(F.filter(F.split(body, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c) - 1)
-        return F.struct(
-            x["s"].alias("s"),
-            x["e"].alias("e"),
-            F.concat_ws("/", x["size"].cast("string"), F.floor(F.log2(F.length(body).cast("double"))).cast("string")).alias("stratum"),
-            battery(codes, x["size"]).alias("p"),
-        )
+
+        def one(word: Column) -> Column:
+            p = reduce(lambda c, size: c.when(x["size"] == size, battery(word, size)), ALPHABETS, F.when(F.lit(False), F.lit(0.0)))
+            stratum = F.concat_ws("/", x["size"].cast("string"), F.floor(F.log2(F.length(word).cast("double"))).cast("string"))
+            return F.struct(x["s"].alias("s"), x["e"].alias("e"), stratum.alias("stratum"), p.alias("p"))
+
+        return let(body, one)
 
     return F.transform(known, tested)
 
@@ -154,6 +222,23 @@ def thresholds(tested: DataFrame) -> dict[str, float]:
     return {r.stratum: r.p for r in rejected.groupBy("stratum").agg(F.max("p").alias("p")).collect()}
 
 
+def clear(words: Column, base: Column) -> Column:
+    """The words that overlap no base span. All are put in order; a word must begin after the furthest end of the
+    base spans before it, and end before the nearest start of those after it."""
+    none = F.lit(2**31 - 1)
+    mark = lambda x, word: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(word).alias("word"))
+
+    def kept(both: Column) -> Column:
+        ends = running(F.transform(both, lambda x: F.when(x["word"], F.lit(0)).otherwise(x["e"])), lambda a, b: F.greatest(a, b), F.lit(0))
+        starts = running(F.transform(F.reverse(both), lambda x: F.when(x["word"], none).otherwise(x["s"])), lambda a, b: F.least(a, b), none)
+        around = F.zip_with(ends, F.reverse(starts), lambda e, s: F.struct(e.alias("end"), s.alias("start")))
+        free = F.zip_with(both, around, lambda x, a: F.struct(x["s"].alias("s"), x["e"].alias("e"), (x["word"] & (a["end"] <= x["s"]) & (a["start"] >= x["e"])).alias("free")))
+        return F.transform(F.filter(free, lambda x: x["free"]), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+
+    both = F.concat(F.transform(words, lambda x: mark(x, True)), F.transform(base, lambda x: mark(x, False)))
+    return let(F.array_sort(both), kept)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, base, added) for each row of docs: arrays of (s, k, e), k the number of the kind, in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -166,9 +251,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = checkpointed(docs.select(F.col(id_col).alias("id"), base.alias("base"), candidates(text).alias("tested")))
     limits = thresholds(found.select(F.explode("tested").alias("t")).select("t.stratum", "t.p"))
     limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]) if limits else F.create_map().cast("map<string, double>")
-    clear = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    random = F.filter("tested", lambda x: (x["p"] > F.coalesce(F.try_element_at(limit, x["stratum"]), F.lit(0.0))) & clear(x))
-    return found.select(F.col("id").alias(id_col), "base", of_kind(3, random).alias("added"))
+    random = F.filter("tested", lambda x: x["p"] > F.coalesce(F.try_element_at(limit, x["stratum"]), F.lit(0.0)))
+    return found.select(F.col("id").alias(id_col), "base", of_kind(3, clear(random, F.col("base"))).alias("added"))
 
 
 def written(found: Column) -> Column:

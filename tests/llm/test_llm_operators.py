@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import re
 import zlib
 
@@ -485,6 +486,93 @@ def test_few_regular_words_among_many_keys(spark):
     assert rows[-1]["n_random"] == 0
 
 
+def brute_battery(word, size):
+    """The p-value from the formulas, character by character."""
+    alphabet = secret_battery.ALPHABETS[size]
+    codes = [alphabet.index(c) for c in word]
+    n = len(codes)
+
+    def upper(z):
+        return 1 / (1 + math.exp(min(max(1.5976 * z + 0.07056 * z**3, -60), 60)))
+
+    def chi(bin_of):
+        cells = collections.Counter(bin_of(k) for k in range(size))
+        seen = collections.Counter(bin_of(k) for k in codes)
+        x = sum((seen[b] - n * m / size) ** 2 / (n * m / size) for b, m in cells.items())
+        df = len(cells) - 1
+        return upper(((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5)
+
+    def kind(k):
+        c = alphabet[k]
+        return k // 4 if size == 16 else "vowel" if c in "aeiouAEIOU" else "up" if c.isupper() else "low" if c.islower() else "other"
+
+    high = [2 * k >= size for k in codes]
+    above = sum(high)
+    middle = 2 * above * (n - above) / n + 1
+    var = (middle - 1) * (middle - 2) / (n - 1)
+    runs = 1 + sum(a != b for a, b in itertools.pairwise(high))
+    tests = [chi(kind), 2 * upper(abs((runs - middle) / var**0.5)) if var > 0 else 0.0]
+    mean = sum(codes) / n
+    around = sum((k - mean) ** 2 for k in codes)
+    tests.append(2 * upper(abs((sum((a - mean) * (b - mean) for a, b in itertools.pairwise(codes)) / around + 1 / n) * n**0.5)) if around else 0.0)
+    if n >= 40:
+        tests.append(chi(lambda k: k * 8 // size))
+    return min(1.0, len(tests) * min(tests))
+
+
+def test_battery_equals_its_formulas(spark):
+    import random
+
+    rng = random.Random(11)
+    cases = [(size, "".join(rng.choice(a[: rng.choice([3, len(a), len(a)])]) for _ in range(rng.choice([20, 24, 39, 40, 64, 500])))) for size, a in secret_battery.ALPHABETS.items() for _ in range(25)]
+    cases += [(62, "A" * 30), (16, "0f" * 20), (64, "AbC/" * 400)]
+    table = spark.createDataFrame(cases, "size int, word string")
+    for size in secret_battery.ALPHABETS:
+        got = [r.p for r in table.where(F.col("size") == size).select(secret_battery.battery(F.col("word"), size).alias("p")).collect()]
+        for p, (_, word) in zip(got, [c for c in cases if c[0] == size], strict=True):
+            assert math.isclose(p, brute_battery(word, size), rel_tol=1e-6, abs_tol=1e-12), word
+
+
+def test_secrets_of_very_long_words_and_texts(spark):
+    import random
+    import string
+    import time
+
+    rng = random.Random(12)
+    keys = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(30_000)]
+    blob = "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(100_000))
+    text = " ".join(keys) + " " + blob
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    (row,) = secret_battery.find_secrets(table).collect()
+    assert time.time() - began < 60  # seconds where the work grows with the length
+    assert row.base == ",".join(f"hex:{33 * k}:{33 * k + 32}" for k in range(30_000))
+    assert row.spans == row.base + f",random:{33 * 30_000}:{33 * 30_000 + 100_000}"
+
+
+def test_random_words_beside_base_spans(spark):
+    words = [(0, 30), (40, 60), (70, 90), (100, 130)]
+    base = [(30, 40), (59, 61), (65, 69), (69, 70), (95, 140)]
+    one = "array<struct<s int, e int>>"
+    table = spark.createDataFrame([(words, base), ([], base), (words, []), ([], [])], f"words {one}, base {one}")
+    got = [[tuple(x) for x in r[0]] for r in table.select(secret_battery.clear(F.col("words"), F.col("base"))).collect()]
+    assert got == [[(0, 30), (70, 90)], [], words, []]
+
+
+def test_names_and_paths_are_no_secrets(spark):
+    """Random words outside of the base patterns are found; of names and paths, one kind of five passes as random."""
+    import random
+    import string
+
+    rng = random.Random(13)
+    planted = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(rng.choice([24, 32, 43]))) for _ in range(300)]
+    plain = ["myModule/components/Header2/IndexPage", "src/main/java/org/example/Service1Test", "getUserAccountByIdentifier2", "2024-01-31T10-30-25-backup-Archive", "ThisIsAVeryLongCamelCaseName42"] * 4
+    table = spark.createDataFrame(list(enumerate(planted + plain)), "doc_id long, text string")
+    found = [r["n_random"] for r in rows_of(secret_battery.find_secrets(table))]
+    assert sum(found[:300]) >= 285
+    assert sum(found[300:]) <= 4
+
+
 # ---- 9
 
 
