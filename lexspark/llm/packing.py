@@ -2,14 +2,16 @@
 
 Documents are cut into pieces of at most `capacity` tokens. The histogram of piece lengths has at most
 `capacity` entries, however many documents there are. From it, patterns of a few lengths that fill a
-sequence are enumerated, non-negative repeat counts are fitted to the histogram by least squares and
-rounded down to what the histogram holds; what remains is packed best fit, longest first, on counts too.
+sequence are enumerated, non-negative repeat counts are fitted to the histogram by weighted least squares and
+rounded at random to a neighbouring whole number (so that counts below one count too, in proportion), as far as the
+histogram holds the pattern. Further rounds do the same with what is left. The residual that no round fits is packed best fit, longest first, on counts too. The patterns that are tried are
+bounded by PER_LENGTH, MAX_DOCUMENTS and SLACK; whatever they don't reach is part of the residual, so nothing is lost.
 The plan says which ranks of a length go to which sequences; pieces then take their places by their rank.
 
 Ranks come in two steps: each length is dealt to about as many cells as the square root of its count, so
 neither a cell nor the list of a length's cells grows beyond that root, even for a very frequent length.
 
-Null and empty texts are documents of the end token alone. Rows are packed row by row, so repeated ids
+Very long texts are cut into pieces like others. Null and empty texts are documents of the end token alone. Rows are packed row by row, so repeated ids
 and texts each get their place; a null id stays null. An empty table gives an empty result, and further
 columns are ignored.
 """
@@ -32,9 +34,10 @@ from lexspark.llm.common import arrow_fields, checkpointed, slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Patterns of the fit, and its steps.
-MAX_PATTERNS = 20_000
-FIT_STEPS = 150
+#: Patterns drawn for each length; most documents of a pattern; most tokens that a pattern leaves unused.
+PER_LENGTH, MAX_DOCUMENTS, SLACK = 48, 24, 2
+#: Rounds of enumerating, fitting and rounding; steps of a fit.
+ROUNDS, FIT_STEPS = 8, 120
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int = CAPACITY) -> DataFrame:
@@ -70,52 +73,70 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, cap
 # ---- the plan: on the histogram alone
 
 
-def enumerate_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Patterns of one to a few lengths, each the fullest found that holds a given length.
+def enumerate_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int, seed: int = 0) -> np.ndarray:
+    """Full patterns, as rows of lengths in falling order, filled up with zeros. lengths are sorted.
 
-    For each length: alone; with its best partner; with each of a spread of second lengths and the best
-    third; and repeats of itself closed by the best partner.
+    For each length: alone; with itself; with PER_LENGTH - 2 second lengths, drawn evenly or by their counts, half of
+    them with a drawn third; and each number of repeats, with and without a drawn partner. All are closed by
+    the longest lengths that fit.
     """
-    has = np.zeros(capacity + 1, bool)
-    has[lengths] = True
-    below = np.maximum.accumulate(np.where(has, np.arange(capacity + 1), 0))  # longest present length that fits
-    found: set[tuple[int, ...]] = set()
-    order = np.argsort(-counts)
-    spread = np.unique(np.concatenate([lengths[order[:24]], lengths[np.linspace(0, len(lengths) - 1, min(len(lengths), 24)).astype(int)]]))
-
-    def close(parts: list[int]) -> None:
-        room = capacity - sum(parts)
-        while room > 0 and below[room] and len(parts) < 12:
-            parts.append(int(below[room]))
-            room -= int(below[room])
-        found.add(tuple(sorted(parts, reverse=True)))
-
-    for a in lengths.tolist():
-        close([a])
-        for k in range(2, min(capacity // a, 8) + 1):
-            close([a] * k)
-    for a in lengths[order].tolist():
-        if len(found) >= MAX_PATTERNS:
-            break
-        for b in spread.tolist():
-            if a + b <= capacity:
-                close([a, b])
-    return sorted(found)
-
-
-def fit_counts(patterns: list[tuple[int, ...]], lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Non-negative repeat counts whose lengths come nearest to the histogram, by accelerated projected gradients."""
-    slot = {int(v): k for k, v in enumerate(lengths)}
-    rows = np.array([slot[v] for p in patterns for v in p], np.int64)
-    cols = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
+    rng = np.random.default_rng(seed)
+    present = np.zeros(capacity + 1, np.int64)
+    present[lengths] = lengths
+    below = np.maximum.accumulate(present)  # longest present length that fits
+    before = np.concatenate([[0.0], np.cumsum(counts)])
+
+    def drawn(most: np.ndarray, by_count: np.ndarray) -> np.ndarray:
+        """For each row a length of at most `most`; 0 where there is none."""
+        fit = np.searchsorted(lengths, most, side="right")
+        u = rng.random(len(most))
+        at = np.where(by_count, np.searchsorted(before, u * before[fit], side="right") - 1, (u * fit).astype(np.int64))
+        return np.where(fit > 0, lengths[np.clip(at, 0, len(lengths) - 1)], 0)
+
+    first = np.repeat(lengths, PER_LENGTH)
+    draw = np.arange(len(first)) % PER_LENGTH
+    second = drawn(np.minimum(capacity - first, first), draw % 2 == 0)
+    second[draw == 0] = 0
+    second[draw == 1] = np.where(2 * first <= capacity, first, 0)[draw == 1]
+    third = drawn(np.minimum(capacity - first - second, second), np.ones(len(first), bool))
+    third[(second == 0) | (draw // 2 % 2 == 0)] = 0
+    few = np.zeros((len(first), MAX_DOCUMENTS), np.int64)
+    few[:, 0], few[:, 1], few[:, 2] = first, second, third
+
+    most = np.minimum(capacity // lengths, MAX_DOCUMENTS - 1)
+    own = np.repeat(lengths, 2 * most)
+    times = np.concatenate([np.arange(2 * n) // 2 + 1 for n in most])
+    repeats = np.where(np.arange(MAX_DOCUMENTS) < times[:, None], own[:, None], 0)
+    partner = drawn(capacity - own * times, np.ones(len(own), bool))
+    repeats[np.arange(len(own)), times] = np.where(np.arange(len(own)) % 2, partner, 0)
+
+    rows = np.unique(-np.sort(-np.concatenate([few, repeats]), axis=1), axis=0)
+    room = capacity - rows.sum(axis=1)
+    used = (rows > 0).sum(axis=1)
+    while len(todo := np.flatnonzero((used < MAX_DOCUMENTS) & (below[room] > 0))):
+        closing = below[room[todo]]
+        rows[todo, used[todo]] = closing
+        room[todo] -= closing
+        used[todo] += 1
+    return np.unique(-np.sort(-rows[room <= SLACK], axis=1), axis=0)
+
+
+def fit_counts(patterns: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+    """Non-negative repeat counts whose lengths come nearest to the histogram, by accelerated projected gradients.
+
+    Long lengths weigh more, so that what the fit misses is short and finds a place anywhere.
+    """
+    weight = np.sqrt(lengths / capacity) + 0.05
+    of_pattern, place = np.nonzero(patterns)
+    slot = np.searchsorted(lengths, patterns[of_pattern, place])
     scale = max(1.0, float(counts.max()))
-    target = counts / scale
+    target = weight * counts / scale
 
     def forward(x: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, x[cols], len(lengths))
+        return weight * np.bincount(slot, x[of_pattern], len(lengths))
 
     def back(r: np.ndarray) -> np.ndarray:
-        return np.bincount(cols, r[rows], len(patterns))
+        return np.bincount(of_pattern, (weight * r)[slot], len(patterns))
 
     v = np.ones(len(patterns))
     for _ in range(15):  # largest eigenvalue, for the step
@@ -132,6 +153,34 @@ def fit_counts(patterns: list[tuple[int, ...]], lengths: np.ndarray, counts: np.
     return x * scale
 
 
+def fitted_patterns(left: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """(pattern, number of sequences) of all rounds; their pieces are taken off `left`, the counts by length."""
+    out: list[tuple[tuple[int, ...], int]] = []
+    for round_ in range(ROUNDS):
+        lengths = np.flatnonzero(left)
+        if not len(lengths):
+            break
+        patterns = enumerate_patterns(lengths, left[lengths].astype(np.float64), capacity, round_)
+        if not len(patterns):
+            break
+        fitted = fit_counts(patterns, lengths, left[lengths].astype(np.float64), capacity)
+        rounded = np.floor(fitted + np.random.default_rng(round_).random(len(fitted))).astype(np.int64)
+        placed = 0
+        for k in np.argsort(-fitted, kind="stable").tolist():
+            if not rounded[k]:
+                continue
+            shape = patterns[k][patterns[k] > 0]
+            own, need = np.unique(shape, return_counts=True)
+            n = min(int(rounded[k]), int((left[own] // need).min()))
+            if n > 0:
+                left[own] -= n * need
+                placed += n
+                out.append((tuple(shape.tolist()), n))
+        if not placed:
+            break
+    return out
+
+
 def best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Best fit, longest first, on counts: bins that look alike are one entry."""
     by_room: dict[int, dict[tuple[int, ...], int]] = {}
@@ -169,26 +218,11 @@ def _put(by_room: dict, rooms: np.ndarray, room: int, shape: tuple[int, ...], n:
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """(pattern, number of sequences) that hold exactly the pieces of the histogram."""
-    left = {v: n for v, n in histogram.items() if n}
-    if not left:
-        return []
-    lengths = np.array(sorted(left), np.int64)
-    counts = np.array([left[int(v)] for v in lengths], np.float64)
-    patterns = enumerate_patterns(lengths, counts, capacity)
-    fitted = fit_counts(patterns, lengths, counts)
-    out = []
-    full = sorted(range(len(patterns)), key=lambda k: (capacity - sum(patterns[k]), -fitted[k]))
-    for k in full:
-        p = patterns[k]
-        if capacity - sum(p) > capacity // 1000 or fitted[k] < 1:
-            continue  # a pattern with room left is the residual's matter
-        need = {v: p.count(v) for v in p}
-        n = min(int(fitted[k]), *(left[v] // m for v, m in need.items()))
-        if n > 0:
-            for v, m in need.items():
-                left[v] -= n * m
-            out.append((p, n))
-    return out + best_fit({v: n for v, n in left.items() if n}, capacity)
+    left = np.zeros(capacity + 1, np.int64)
+    for v, n in histogram.items():
+        left[v] = n
+    fitted = fitted_patterns(left, capacity)
+    return fitted + best_fit({int(v): int(left[v]) for v in np.flatnonzero(left)}, capacity)
 
 
 def placements(packed: list[tuple[tuple[int, ...], int]], capacity: int = CAPACITY) -> dict[str, np.ndarray]:

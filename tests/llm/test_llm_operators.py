@@ -106,6 +106,25 @@ def test_plan_holds_the_histogram(shape):
     assert sorted(set(places["length"].tolist())) == sorted(histogram)
 
 
+def test_most_sequences_come_from_the_fit(spark):
+    import numpy as np
+
+    tokenizer = WordBpe(queries.tokenizer_path())
+    histogram = collections.Counter()
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist():
+        n = len(tokenizer.ids([text or ""])[0]) // 4 + 1
+        histogram.update([4096] * ((n - 1) // 4096) + [(n - 1) % 4096 + 1])
+    for times, share in ((1, 0.6), (40, 0.95)):
+        own = {v: n * times for v, n in histogram.items()}
+        left = np.zeros(4097, np.int64)
+        left[list(own)] = list(own.values())
+        fitted = packing.fitted_patterns(left, 4096)
+        assert all(sum(p) >= 4096 - packing.SLACK and len(p) <= packing.MAX_DOCUMENTS for p, _ in fitted)
+        total = sum(n for _, n in packing.plan(own))
+        assert sum(n for _, n in fitted) >= share * total
+        assert total <= sum(v * n for v, n in own.items()) / 4096 * 1.002 + 1
+
+
 def test_word_bpe_equals_the_tokenizer():
     own = WordBpe(queries.tokenizer_path(), cache_words=50)
     texts = [t or "" for _, t in ODD[:12] + ODD[14:]] + ["don't I'LL 'S ''s naïve_x ²³ ª", "ÀÉ ß " * 30, "x" * 60, "a-b—c “q” €5", "re 've've 't"]
