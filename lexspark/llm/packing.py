@@ -35,7 +35,7 @@ from lexspark.llm.common import arrow_fields, checkpointed, slices
 CAPACITY = 4096
 END_ID = 1
 #: Patterns drawn for each length; most documents of a pattern; most tokens that a pattern leaves unused.
-PER_LENGTH, MAX_DOCUMENTS, SLACK = 48, 24, 2
+PER_LENGTH, MAX_DOCUMENTS, SLACK = 48, 24, 8
 #: Rounds of enumerating, fitting and rounding; steps of a fit.
 ROUNDS, FIT_STEPS = 8, 120
 
@@ -100,13 +100,13 @@ def enumerate_patterns(lengths: np.ndarray, counts: np.ndarray, capacity: int, s
     second[draw == 1] = np.where(2 * first <= capacity, first, 0)[draw == 1]
     third = drawn(np.minimum(capacity - first - second, second), np.ones(len(first), bool))
     third[(second == 0) | (draw // 2 % 2 == 0)] = 0
-    few = np.zeros((len(first), MAX_DOCUMENTS), np.int64)
+    few = np.zeros((len(first), MAX_DOCUMENTS), np.int32)
     few[:, 0], few[:, 1], few[:, 2] = first, second, third
 
     most = np.minimum(capacity // lengths, MAX_DOCUMENTS - 1)
     own = np.repeat(lengths, 2 * most)
     times = np.concatenate([np.arange(2 * n) // 2 + 1 for n in most])
-    repeats = np.where(np.arange(MAX_DOCUMENTS) < times[:, None], own[:, None], 0)
+    repeats = np.where(np.arange(MAX_DOCUMENTS) < times[:, None], own[:, None], 0).astype(np.int32)
     partner = drawn(capacity - own * times, np.ones(len(own), bool))
     repeats[np.arange(len(own)), times] = np.where(np.arange(len(own)) % 2, partner, 0)
 
