@@ -2,7 +2,8 @@
 
 Zstandard ratios (compressed size over raw size) of the whole text and of fixed chunks are held against
 limits for the text's length; the last chunk ends at the text's end, overlapping the one before where the
-length isn't a multiple. Below its band a text is repetitive, above it is incompressible.
+length isn't a multiple. Short texts have shorter chunks, and the shortest are one chunk as a whole, so every byte of
+a text that has limits is in a chunk, however long the text. Below its band a text is repetitive, above it is incompressible.
 
 Nulls and empty texts have no words and fail the base rule. Repeated rows and ties are judged row by row,
 an empty table gives an empty table, further columns are passed through untouched.
@@ -31,9 +32,11 @@ FIELDS = (
 
 @dataclass(frozen=True)
 class Bands:
-    """Limits by length: (shortest text in UTF-8 bytes, lowest ratio, highest ratio).
+    """Limits by length: (shortest text in UTF-8 bytes, lowest ratio, highest ratio), and for chunks
+    (shortest text, bytes of a chunk, lowest ratio, highest ratio).
 
-    Texts shorter than the first entry have no limits: the frame of a compressed block outweighs them.
+    Texts shorter than the first entry have no limits: the frame of a compressed block outweighs them. Texts
+    shorter than the first entry for chunks are one chunk, with the limits of the whole.
     """
 
     whole: tuple[tuple[int, float, float], ...] = (
@@ -44,9 +47,7 @@ class Bands:
         (4096, 0.26, 0.70),
         (16384, 0.22, 0.66),
     )
-    chunk_bytes: int = 2048
-    chunk_low: float = 0.24
-    chunk_high: float = 0.74
+    chunks: tuple[tuple[int, int, float, float], ...] = ((512, 512, 0.34, 0.84), (2048, 2048, 0.24, 0.74))
     odd_chunk_share: float = 0.3
     level: int = 3
     min_words: int = 10
@@ -110,14 +111,17 @@ def kernel(bands: Bands) -> Callable[[], Callable[[list], dict]]:
             symbols = sum(map(text.count, SYMBOLS))
             repeats = repeated_words(words)
             ratio = len(compress(raw)) / len(raw) if raw else 0.0
-            chunks = [*range(0, len(raw) - bands.chunk_bytes + 1, bands.chunk_bytes)]
-            if chunks and len(raw) % bands.chunk_bytes:
-                chunks.append(len(raw) - bands.chunk_bytes)
-            odd = sum(not bands.chunk_low <= len(compress(raw[a : a + bands.chunk_bytes])) / bands.chunk_bytes <= bands.chunk_high for a in chunks)
             low, high = next(((lo, hi) for least, lo, hi in reversed(bands.whole) if len(raw) >= least), (0.0, float("inf")))
+            size, chunk_low, chunk_high = next((own for least, *own in reversed(bands.chunks) if len(raw) >= least), (len(raw), low, high))
+            starts = []
+            if raw and len(raw) >= bands.whole[0][0]:
+                starts = [*range(0, len(raw) - size + 1, size)]
+                if len(raw) % size:
+                    starts.append(len(raw) - size)
+            odd = sum(not chunk_low <= len(compress(raw[a : a + size])) / size <= chunk_high for a in starts)
             failed = n < bands.min_words or 100 * repeats > bands.max_repeat_percent * n
-            kept = not failed and low <= ratio <= high and odd <= bands.odd_chunk_share * len(chunks)
-            return n, chars, symbols, duplicate_lines(raw), repeats, ratio, len(chunks), odd, failed, kept
+            kept = not failed and low <= ratio <= high and odd <= bands.odd_chunk_share * len(starts)
+            return n, chars, symbols, duplicate_lines(raw), repeats, ratio, len(starts), odd, failed, kept
 
         return lambda texts: dict(zip(names, zip(*map(judge, texts)), strict=True))
 

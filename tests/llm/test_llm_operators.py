@@ -237,6 +237,35 @@ def test_bands_see_the_tail():
     assert out["n_chunks"] == (2, 2, 2, 1)
 
 
+def brute_bands(text, failed):
+    """(ratio, n_chunks, n_odd_chunks, kept), step by step; every byte of a text with limits is in a chunk."""
+    import zstandard
+
+    ratio_of = lambda b: len(zstandard.compress(b, 3)) / len(b)
+    raw = (text or "").encode()
+    n, bands = len(raw), quality_bands.Bands()
+    if n < 128:
+        return ratio_of(raw) if n else 0.0, 0, 0, not failed
+    whole = [(lo, hi) for least, lo, hi in bands.whole if n >= least][-1]
+    size, low, high = (2048, 0.24, 0.74) if n >= 2048 else (512, 0.34, 0.84) if n >= 512 else (n, *whole)
+    covered, odd, chunks, at = 0, 0, 0, 0
+    while covered < n:
+        at = min(at, n - size)
+        odd += not low <= ratio_of(raw[at : at + size]) <= high
+        chunks += 1
+        at += size
+        covered = at
+    return ratio_of(raw), chunks, odd, not failed and whole[0] <= ratio_of(raw) <= whole[1] and odd <= 0.3 * chunks
+
+
+def test_bands_equal_brute_force(spark, sf, docs, odd):
+    blob = "".join(chr(33 + k * k * 7 % 90) for k in range(900))
+    mixed = {10**9 + k: (t or "")[: 100 * k] + blob[: 37 * k] for k, t in enumerate(list(docs.values())[:40])}
+    table = spark.createDataFrame(list((docs | mixed | {-k: t for k, (_, t) in enumerate(ODD, 1)}).items()), "doc_id long, text string")
+    for r, t in [(r, r["text"]) for r in rows_of(table.select("*", quality_bands.quality_column(F.col("text")).alias("q")).select("doc_id", "text", "q.*"))]:
+        assert (r["ratio"], r["n_chunks"], r["n_odd_chunks"], r["kept"]) == brute_bands(t, r["base_failed"]), r["doc_id"]
+
+
 @pytest.mark.parametrize("n,base", [(40, 3), (500, 6), (9000, 8000)])
 def test_repeated_words(n, base):
     import random
