@@ -6,12 +6,15 @@ joins positional bytes by fives: eleven sets of five positions, of which any six
 least one wholly. Inside a list the shared positional bytes of a pair are tallied, pairs that reach six
 are retained and verified by their differing bits.
 
-Equal fingerprints are one entry of the index. A list holds distinct fingerprints with 40 bits in common,
-so at most 2**24 of them; large ones are searched by flipping bits, not by pairs, and each list yields a
-spanning forest of its links, not all of them.
-
-Null texts have no words, like empty ones: fingerprint zero, linked like any other. Repeated rows stay
-rows. A null id never names a component unless all its ids are null. Further columns are ignored.
+Equal fingerprints are one entry of the index. Lists of more than PAIRWISE fingerprints are split by a sixth positional
+byte, three ways: by the count filter a pair must share one more of the three free bytes, so each pair that reaches
+the count is in a split list, and all pairs of one do reach it. Split lists hold 2**16 fingerprints at most, whatever the
+input; in long ones the pairs are verified by their possible differences, of which two bytes leave 136, instead of one by
+one. Each list yields a spanning forest of its links, not all of them.
+
+Null texts have no words, like empty ones: fingerprint zero, linked like any other, so a group of any size is one entry.
+Very long texts are hashed whole. Repeated rows and equal texts (ties) stay rows, of one component. A null id never names a
+component unless all its ids are null. An empty table gives an empty table, further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import checkpointed, struct_kernel
+from lexspark.llm.common import checkpointed, fresh_name, struct_kernel
 from lexspark.llm.components import connected_components
 
 SHINGLE = 3
@@ -38,10 +42,8 @@ FREE_BYTES = (
     (0, 1, 2), (0, 3, 4), (0, 5, 6), (0, 1, 7), (1, 3, 5), (1, 4, 6),
     (2, 3, 6), (2, 4, 5), (2, 3, 7), (4, 5, 7), (3, 6, 7),
 )
-#: Lists up to this long are compared pair by pair.
+#: Lists up to this long are compared pair by pair; longer ones are split by a sixth byte.
 PAIRWISE = 256
-#: Of longer lists up to this long the links are kept between rounds.
-KEPT_LINKS = 20_000
 
 
 def fingerprint(text: str | None) -> int:
@@ -85,25 +87,21 @@ def _forest(n: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def _flip_links(values: np.ndarray, free: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that link each linked group of sorted values: every member to its group's first."""
-    bits = [np.uint64(1) << np.uint64(8 * (7 - p) + b) for p in free for b in range(8)]
-    masks = bits + [a | b for a, b in combinations(bits, 2)]
+def _difference_links(values: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that link each linked group of sorted values, which agree in the mask `shared`: every member to its group's first."""
+    bits = [np.uint64(1 << b) for b in range(64) if not shared >> b & 1]
     label = np.arange(len(values))
-
-    def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for mask in masks:
-            other = values ^ mask
-            at = np.searchsorted(values, other)
-            at[at == len(values)] = 0
-            hit = np.flatnonzero((values[at] == other) & (at > np.arange(len(values))))
-            if len(hit):
-                yield hit, at[hit]
-
-    found = list(near()) if len(values) <= KEPT_LINKS else None  # found anew each round rather than kept beyond that
+    found = []
+    for mask in bits + [a | b for a, b in combinations(bits, 2)]:
+        other = values ^ mask
+        at = np.searchsorted(values, other)
+        at[at == len(values)] = 0
+        hit = np.flatnonzero((values[at] == other) & (at > np.arange(len(values))))
+        if len(hit):
+            found.append((hit.astype(np.int32), at[hit].astype(np.int32)))
     while True:
         before = label.copy()
-        for a, b in near() if found is None else found:
+        for a, b in found:
             least = np.minimum(label[a], label[b])
             np.minimum.at(label, a, least)
             np.minimum.at(label, b, least)
@@ -114,6 +112,12 @@ def _flip_links(values: np.ndarray, free: tuple[int, ...]) -> tuple[np.ndarray,
     return member, label[member]
 
 
+def shared_mask(slot: int) -> int:
+    """The bits of the positional bytes that a list's fingerprints share: five of them, or six in split lists."""
+    free = FREE_BYTES[slot // 4]
+    return sum(255 << 8 * (7 - p) for p in range(8) if p not in free or slot % 4 and p == free[slot % 4 - 1])
+
+
 def list_links(fps: np.ndarray, slot: int) -> np.ndarray:
     """Links inside one list of signed fingerprints: a spanning forest of its pairs within MAX_BITS, as rows (u, v)."""
     if len(fps) == 2:
@@ -121,14 +125,14 @@ def list_links(fps: np.ndarray, slot: int) -> np.ndarray:
         shared = sum(not x >> 8 * k & 255 for k in range(8))
         return fps.reshape(1, 2) if shared >= MIN_SHARED and x.bit_count() <= MAX_BITS else fps[:0].reshape(0, 2)
     values = np.sort(fps.view(np.uint64))
-    if len(values) <= PAIRWISE:
+    if len(values) <= PAIRWISE or slot % 4 == 0:
         x = values[:, None] ^ values[None, :]
         shared = (x.reshape(-1, 1).view(np.uint8) == 0).sum(axis=1).reshape(x.shape)
         a, b = np.nonzero(np.triu(shared >= MIN_SHARED, 1))
         good = np.bitwise_count(x[a, b]) <= MAX_BITS
         pairs = np.array(_forest(len(values), list(zip(a[good].tolist(), b[good].tolist(), strict=True))), np.int64).reshape(-1, 2)
     else:
-        pairs = np.stack(_flip_links(values, FREE_BYTES[slot]), axis=1)
+        pairs = np.stack(_difference_links(values, shared_mask(slot)), axis=1)
     return values.view(np.int64)[pairs]
 
 
@@ -146,47 +150,58 @@ def _links(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
 
 
+def _entry(slot: int) -> Column:
+    mask = shared_mask(slot)
+    return F.struct(F.lit(slot).cast("byte").alias("slot"), F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64))).alias("key"))
+
+
 def index_links(fps: DataFrame) -> DataFrame:
-    """Links (u, v) that join all of the distinct fingerprints (fp) that differ in MAX_BITS or fewer."""
-    keep = []
-    for slot, free in enumerate(FREE_BYTES):
-        mask = sum(255 << 8 * (7 - p) for p in range(8) if p not in free)
-        mask -= (mask >> 63) << 64
-        keep.append(F.struct(F.lit(slot).cast("byte").alias("slot"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key")))
-    entries = fps.select("fp", F.explode(F.array(*keep)).alias("e")).select("e.slot", "e.key", "fp")
-    lists = entries.groupBy("slot", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    """Links (u, v) that join all of the distinct fingerprints (fp) that differ in MAX_BITS or fewer.
+
+    Slots number the sets of shared positions: 4 k is the k-th five, 4 k + 1 to 4 k + 3 split it by each of its free bytes.
+    Lists are counted first, so that no list is gathered before it is known to be short.
+    """
+    fives = range(0, 4 * len(FREE_BYTES), 4)
+    entries = fps.select("fp", F.explode(F.array(*map(_entry, fives))).alias("e")).select("e.slot", "e.key", "fp")
+    sizes = entries.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1")
+    known = checkpointed(sizes.select("slot", "key", (F.col("n") > PAIRWISE).alias("long")))
+    split = F.array(*[F.when(F.col("slot") == k, F.array(*[_entry(k + j) for j in (1, 2, 3)])) for k in fives])
+    ways = F.when(F.col("long"), F.element_at(split, (F.col("slot") / 4 + 1).cast("int"))).otherwise(F.array(F.struct("slot", "key")))
+    dealt = entries.join(known, ["slot", "key"]).select("fp", F.explode(ways).alias("e")).select("e.slot", "e.key", "fp")
+    lists = dealt.groupBy("slot", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
     links = F.arrow_udf(_links, "array<struct<u: long, v: long>>").asNondeterministic()(F.struct("slot", "fps"))
     return lists.select(F.explode(links).alias("l")).select("l.u", "l.v")
 
 
+def _components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, fp): entries (fp, least), and named (fp, root, component_id) with a row for each fingerprint."""
+    entries = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = connected_components(index_links(entries.select("fp")))
+    group = checkpointed(entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    smallest = group.groupBy("root").agg(F.min("least").alias("component_id"))
+    return entries, checkpointed(group.join(smallest, "root").select("fp", "root", "component_id"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) for each row of docs."""
     rows = checkpointed(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col)).alias("fp")))
-    entries = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = connected_components(index_links(entries.select("fp")))
-    member = roots.join(entries, roots.node == entries.fp).select("root", "node", "least")
-    first = roots.select("root").distinct().join(entries, F.col("root") == entries.fp).select("root", F.col("root").alias("node"), "least")
-    group = checkpointed(member.union(first))
-    smallest = checkpointed(group.groupBy("root").agg(F.min("least").alias("component_id")))
-    linked = group.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
-    named = checkpointed(entries.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
+    _, named = _components(rows)
     return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs of which each component keeps one, that of its smallest id.
+    """The rows of docs of which each component keeps one: that of the smallest id, or a nameless one where none has an id.
 
-    A row that repeats both id and text is left out. Rows without an id stand for no group: they stay,
-    one for each text.
+    Where an id repeats with different texts of the component, the text of the smallest hash stays; of rows that repeat
+    id and text, one. The decision is made on (id, hash of the text, fingerprint) alone; texts move once. Null texts are
+    of the component of empty ones. An empty table gives an empty table, columns of any names pass through.
     """
-    from pyspark.sql import Window as W
-
-    chosen = checkpointed(simhash_components(docs, id_col, text_col).select(F.col("component_id").alias(id_col)).distinct())
-    named = docs.join(chosen, id_col, "left_semi").select(docs.columns)
-    nameless = docs.where(F.col(id_col).isNull())
-
-    def once(df: DataFrame) -> DataFrame:
-        w = W.partitionBy(id_col, F.xxhash64(text_col), F.length(text_col)).orderBy(F.lit(0))
-        return df.select("*", F.row_number().over(w).alias("__copy")).where("__copy = 1").drop("__copy")
-
-    return once(named).unionByName(once(nameless))
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).isNull().alias("n"))
+    rows = checkpointed(docs.select(key.alias("key"), F.col(id_col).alias("id"), fingerprint_column(F.col(text_col)).alias("fp")))
+    _, named = _components(rows.select("id", "fp"))
+    first = F.min(F.struct(F.col("id").isNull(), "key"))
+    chosen = rows.join(named, "fp").groupBy("root").agg(first.alias("first")).select(F.col("first.key").alias("key"))
+    own, once = fresh_name(docs, "__key"), fresh_name(docs, "__once")
+    kept = docs.select("*", key.alias(own)).join(chosen.select(F.col("key").alias(own)), own, "left_semi")
+    number = F.row_number().over(W.partitionBy(own).orderBy(F.lit(0)))
+    return kept.select("*", number.alias(once)).where(F.col(once) == 1).select([F.col(f"`{c}`") for c in docs.columns])

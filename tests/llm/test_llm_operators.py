@@ -702,13 +702,37 @@ def test_simhash_odd_rows(odd, empty):
     assert sum(r.doc_id is None for r in kept.collect()) == 1
 
 
-@pytest.mark.parametrize("pairwise", [256, 2, -2])
+def test_representatives_of_repeated_ids_and_clashing_names(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    rows = [(5, a), (3, b), (5, b), (5, a), (None, b), (None, "eleven twelve"), (None, "eleven twelve"), (8, None), (7, ""), (9, " ")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, __copy int, __key int, __once int")
+    kept = simhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted([(5, a), (3, b), (None, "eleven twelve"), (7, "")], key=str)
+
+
+def test_long_lists_are_split(spark):
+    """Fingerprints that share five positional bytes, in chains and loose; lists are far longer than PAIRWISE."""
+    import random
+
+    rng = random.Random(4)
+    fps = {0x1234567890000000 | rng.getrandbits(24) for _ in range(2_000)}
+    fps |= {0xFFEE000000000000 | rng.getrandbits(8) << 32 | rng.getrandbits(16) for _ in range(3_000)}
+    fps = sorted(fps)
+    signed = [f - (f >> 63 << 64) for f in fps]
+    got = {r.node: r.root for r in components.connected_components(simhash.index_links(spark.createDataFrame([(s,) for s in signed], "fp long"))).collect()}
+    roots = brute_components(fps)
+    groups = collections.defaultdict(set)
+    for s, r in zip(signed, roots, strict=True):
+        groups[r].add(s)
+    assert {s: got.get(s, s) for s in signed} == {s: min(g) for g in groups.values() for s in g}
+
+
+@pytest.mark.parametrize("pairwise", [256, 2])
 def test_index_finds_all_links(spark, pairwise, monkeypatch):
     import random
 
-    monkeypatch.setattr(simhash, "PAIRWISE", abs(pairwise))
-    if pairwise < 0:
-        monkeypatch.setattr(simhash, "KEPT_LINKS", 0)
+    monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
     rng = random.Random(3)
     fps = [rng.getrandbits(64) for _ in range(300)]
     for f in fps[:120]:
