@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -30,6 +31,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder; a temporary folder would be another one on each machine")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lexspark-checkpoint-"))
     return df.checkpoint(eager=True)
 
@@ -74,7 +77,3 @@ def fresh_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
-
-
-def with_struct(df: DataFrame, name: str, column: Column) -> DataFrame:
-    return df.select("*", column.alias(name))

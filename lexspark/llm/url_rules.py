@@ -5,11 +5,11 @@ and the longest fitting rule gives the verdict. Other urls go to the pattern rul
 literal tokens that any url it matches must hold. Over all urls the tokens are counted, each rule is filed
 under its rarest one, a url's tokens fetch candidate rules, and only those run their regular expressions.
 
-Rules are given by the caller, not found in the data; MAX_RULES bounds what is sent to the executors, and
-more rules run in blocks of that size, one pass over the urls each.
+Rules are given by the caller, not found in the data; MAX_RULES bounds what is sent to the executors at once. More
+rules of either sort run in blocks of that size, one pass over the urls each, whose results are put together.
 
 A null url, or one without "://", has empty host and path, and no pattern rule is tried on it: it is
-allowed. Repeated rows are judged row by row, an empty table gives an empty table, further columns are
+allowed. Very long urls are searched whole. Of rules of equal length the one of the longer host decides. Repeated rows are judged row by row, an empty table gives an empty table, further columns are
 ignored.
 """
 
@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm.common import arrow_fields, checkpointed, slices, struct_kernel
@@ -152,25 +152,36 @@ def url_verdicts(
     """A row of FIELDS for each row of pages; `pattern` names the rule that blocked, the first by name."""
     if not all(r.tokens for r in patterns):
         raise ValueError("a pattern rule needs a literal token")
-    if len(hosts) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} host rules")
     urls = pages.select(F.col(id_col), F.col(url_col))
     out = None
-    for a in range(0, max(1, len(patterns)), MAX_RULES):
+    for a in range(0, max(1, len(patterns), len(hosts)), MAX_RULES):
         block = patterns[a : a + MAX_RULES]
         counts = token_counts(urls, url_col, frozenset(t for r in block for t in r.tokens))
-        judged = struct_kernel(_kernel(hosts, rarest_index(block, counts)), FIELDS)(F.col(url_col))
+        judged = struct_kernel(_kernel(hosts[a : a + MAX_RULES], rarest_index(block, counts)), FIELDS)(F.col(url_col))
         if out is None:
             out = urls.select("*", judged.alias("__v"))
-        else:  # the first blocking pattern of all blocks; candidates add up
-            v, w = F.col("__v"), F.col("__w")
-            name = F.least(v["pattern"], w["pattern"])
-            verdict = F.when(v["rule"].isNotNull(), v["verdict"]).when(name.isNotNull(), F.lit("block")).otherwise(v["verdict"])
-            merged = F.struct(v["host"].alias("host"), v["path"].alias("path"), v["rule"].alias("rule"), name.alias("pattern"), (v["candidates"] + w["candidates"]).alias("candidates"), verdict.alias("verdict"))
-            out = checkpointed(out).select("*", judged.alias("__w")).withColumn("__v", merged).drop("__w")
+        else:
+            out = checkpointed(out).select("*", judged.alias("__w")).withColumn("__v", _merged(F.col("__v"), F.col("__w"))).drop("__w")
     return out.select(F.col(id_col), "__v.*")
 
 
+def _merged(v: Column, w: Column) -> Column:
+    """The results of two blocks: the longest host rule; else the first pattern by name, and all candidates."""
+    rank = lambda x: F.struct(F.length(x["rule"]).alias("n"), F.length(F.substring_index(x["rule"], "/", 1)).alias("h"))
+    later = v["rule"].isNull() | (w["rule"].isNotNull() & (rank(w) > rank(v)))
+    rule = F.when(later, w["rule"]).otherwise(v["rule"])
+    name = F.when(rule.isNull(), F.least(v["pattern"], w["pattern"]))
+    by_rule = F.when(later, w["verdict"]).otherwise(v["verdict"])
+    return F.struct(
+        v["host"].alias("host"),
+        v["path"].alias("path"),
+        rule.alias("rule"),
+        name.alias("pattern"),
+        F.when(rule.isNull(), v["candidates"] + w["candidates"]).otherwise(0).alias("candidates"),
+        F.when(rule.isNotNull(), by_rule).when(name.isNotNull(), F.lit("block")).otherwise(F.lit("allow")).alias("verdict"),
+    )
+
+
 def oracle(hosts: tuple[tuple[str, str], ...] = HOST_RULES, patterns: tuple[PatternRule, ...] = PATTERN_RULES) -> str:
     """The same verdicts in SQL, by trying every rule on every url."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

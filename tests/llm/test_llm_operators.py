@@ -162,8 +162,8 @@ def brute_pattern(url):
 
 def test_url_rules(spark, sf):
     real = list(pq.read_table(f"{sf}/pages.parquet", columns=["url"]).column(0).to_pylist())
-    for max_rules in (50_000, 3):
-        url_rules.MAX_RULES, before = max(max_rules, 4), url_rules.MAX_RULES
+    for max_rules in (50_000, 4, 1):
+        url_rules.MAX_RULES, before = max_rules, url_rules.MAX_RULES
         table = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(real + ODD_URLS)], "page_id long, url string, host string, rule int")
         got = rows_of(url_rules.url_verdicts(table), "page_id")
         url_rules.MAX_RULES = before
