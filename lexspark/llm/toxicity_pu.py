@@ -5,36 +5,42 @@ linear classifier on hashes of words and word beginnings minimises the non-negat
   prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)),
 whose second part, the risk on the unseen negatives, is not let below zero.
 
-The classifier is fitted on the driver from samples of documented size, MAX_POSITIVE toxic and
-MAX_UNLABELLED other documents, by the smallest hashes of their ids; of the unlabelled ones only such
-features are gathered as enough positive ones have. Scoring covers all documents.
+Features are chosen by counts over all data: in how many of the positive documents, and of all documents
+outside the held-out fold, each occurs. The classifier is then fitted on the driver from samples of documented size,
+MAX_POSITIVE toxic and MAX_UNLABELLED other documents, by the smallest hashes of their ids, of which only
+the chosen features are gathered. Scoring covers all documents.
 
-Null texts count as empty; both have no words and get the score of the intercept. A doc_id with several
-labels is toxic if any says so; null labels are left out. Without toxic labels every score is zero.
-Repeated documents are scored row by row, an empty table gives an empty table, further columns are ignored.
+A text that makes up more than a HOT_SHARE of the unlabelled documents counts once there, however many copies it has.
+
+Null texts count as empty; both have no words and get the score of the intercept. Very long texts are read whole; each
+feature counts once. A doc_id with several labels is toxic if any says so; null labels are left out. Without toxic labels
+every score is zero. Repeated documents (ties) are scored row by row, an empty table gives an empty table, further columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import struct_kernel
+from lexspark.llm.common import arrow_fields, checkpointed, slices, struct_kernel
 from lexspark.llm.quality_gbdt import fold
 
-MAX_POSITIVE = 2_000
-MAX_UNLABELLED = 8_000
+MAX_POSITIVE = 3_000
+MAX_UNLABELLED = 12_000
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that are features, in bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: A feature is used if this share of the positive documents has it, so many of them at least, so much more often than unlabelled ones.
-MIN_SHARE, MIN_DOCS, MIN_LIFT = 0.01, 5, 2.0
+#: A feature is used if that many positive documents have it, so much more often than unlabelled ones.
+MIN_DOCS, MIN_LIFT = 5, 2.0
+HOT_SHARE = 0.001
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -54,94 +60,161 @@ def word_hashes(text: str | None) -> set[int]:
 
 
 @dataclass
+class Sparse:
+    """Of n documents, the numbers of the features that each has: columns[i] for document rows[i]."""
+
+    n: int
+    rows: np.ndarray
+    columns: np.ndarray
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, w[self.columns], self.n) + w[-1]
+
+    def back(self, by_doc: np.ndarray, size: int) -> np.ndarray:
+        return np.append(np.bincount(self.columns, by_doc[self.rows], size), by_doc.sum())
+
+
+def sparse(docs: list[np.ndarray]) -> Sparse:
+    flat = np.concatenate(docs).astype(np.int64) if docs else np.zeros(0, np.int64)
+    return Sparse(len(docs), np.repeat(np.arange(len(docs)), [len(d) for d in docs]), flat)
+
+
 class Model:
-    """weights: by feature hash; bias: for a text without features."""
+    """words: sorted feature hashes, with their weights; bias: for a text without features."""
 
-    weights: dict[int, float]
-    bias: float
+    def __init__(self, words: np.ndarray, weights: np.ndarray, bias: float):
+        self.words, self.weights, self.bias = words, weights, bias
 
     def scores(self, texts: list) -> np.ndarray:
-        weights, known = self.weights, self.weights.keys()
-        raw = np.array([self.bias + sum([weights[h] for h in known & word_hashes(t)]) for t in texts], np.float64)
+        found = [np.fromiter(h, np.uint32, len(h)) for h in map(word_hashes, texts)]
+        raw = np.full(len(texts), self.bias)
+        if len(self.words) and found:
+            own = sparse([places(self.words, x) for x in found])
+            raw += np.bincount(own.rows, self.weights[own.columns], own.n)
         return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 3e-4, slack: float = 0.0) -> Model:
-    """Adam on the non-negative risk with the logistic loss; where the negatives' part falls below -slack, its ascent is undone."""
-    if not positive:
-        return Model({}, -40.0)
-    seen = np.concatenate(positive)
-    words, n_pos = np.unique(seen, return_counts=True)
-    rest = np.concatenate(unlabelled) if unlabelled else np.zeros(0, np.uint32)
-    at = np.searchsorted(words, rest)
+def places(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where those of the hashes that are among the sorted words stand there."""
+    at = np.searchsorted(words, hashes)
     at[at == len(words)] = 0
-    n_un = np.bincount(at[words[at] == rest], minlength=len(words)) if len(words) and len(rest) else np.zeros(len(words))
-    often = (n_pos >= max(MIN_DOCS, MIN_SHARE * len(positive))) & (n_pos / len(positive) >= MIN_LIFT * (n_un / max(len(unlabelled), 1)))
-    words = words[often]
+    return at[words[at] == hashes]
 
-    def sparse(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        flat = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
-        if not len(words):
-            return rows[:0], rows[:0]
-        at = np.searchsorted(words, flat)
-        at[at == len(words)] = 0
-        own = words[at] == flat
-        return rows[own], at[own]
-
-    (pr, pc), (ur, uc) = sparse(positive), sparse(unlabelled)
-    np_, nu = len(positive), max(len(unlabelled), 1)
+
+def risk(w: np.ndarray, positive: Sparse, unlabelled: Sparse, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """prior * R+(positive); R-(unlabelled) - prior * R-(positive); and the slopes of both, for the logistic loss."""
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    soft = lambda z: np.logaddexp(0, z)
-    w = np.zeros(len(words) + 1)
+    size = len(w) - 1
+    zp, zu = positive.times(w), unlabelled.times(w)
+    np_, nu = positive.n, max(unlabelled.n, 1)
+    toxic = prior * np.logaddexp(0, -zp).mean()
+    rest = np.logaddexp(0, zu).sum() / nu - prior * np.logaddexp(0, zp).mean()
+    to_toxic = prior * positive.back((sigmoid(zp) - 1) / np_, size)
+    to_rest = unlabelled.back(sigmoid(zu) / nu, size) - prior * positive.back(sigmoid(zp) / np_, size)
+    return toxic, rest, to_toxic, to_rest
+
+
+def fit_nnpu(positive: Sparse, unlabelled: Sparse, size: int, prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 3e-4) -> np.ndarray:
+    """Weights of `size` features and the bias, by Adam; where the negatives' part of the risk falls below zero, its ascent is undone."""
+    w = np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
-
-    def slope(rows: np.ndarray, cols: np.ndarray, by_doc: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(cols, by_doc[rows], len(words)), by_doc.sum())
-
     for t in range(1, steps + 1):
-        zp = np.bincount(pr, w[pc], np_) + w[-1]
-        zu = np.bincount(ur, w[uc], len(unlabelled)) + w[-1]
-        sp, su = sigmoid(zp), sigmoid(zu)
-        negative = soft(zu).sum() / nu - prior * soft(zp).mean()
-        g_neg = slope(ur, uc, su / nu) - prior * slope(pr, pc, sp / np_)
-        g = prior * slope(pr, pc, (sp - 1) / np_) + g_neg if negative >= -slack else -g_neg
+        _, rest, to_toxic, to_rest = risk(w, positive, unlabelled, prior)
+        g = to_toxic + to_rest if rest >= 0 else -to_rest
         g[:-1] += ridge * w[:-1]
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return Model(dict(zip(words.tolist(), w[:-1].tolist(), strict=True)), float(w[-1]))
-
-
-def _gathered(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, wanted: set[int] | None = None) -> list[np.ndarray]:
-    """The features of the chosen documents, or those wanted of them; equal texts count once."""
+    return w
+
+
+def feature_counts(docs: DataFrame, text_col: str, words: np.ndarray | None = None, hot: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): in how many documents each feature occurs, or each of the sorted words.
+
+    Counted in each task, then summed. A text whose xxhash64 is in `hot` weighs one by its number of copies.
+    Without words only features of MIN_DOCS documents are returned.
+    """
+    ddl = "h long, n double"
+    schema = arrow_fields(ddl)
+    hot = hot or {}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, float] = {}
+        known = np.zeros(0 if words is None else len(words))
+        for batch in batches:
+            weights = [1 / hot.get(k, 1) for k in batch.column(1).to_pylist()]
+            done = 0
+            for part in slices(batch.column(0)):
+                for text, weight in zip(part.to_pylist(), weights[done : done + len(part)], strict=True):
+                    own = word_hashes(text)
+                    if words is None:
+                        for h in own:
+                            total[h] = total.get(h, 0.0) + weight
+                    elif len(words):
+                        known[places(words, np.fromiter(own, np.uint32, len(own)))] += weight
+                done += len(part)
+        if words is not None:
+            some = np.flatnonzero(known)
+            yield pa.RecordBatch.from_arrays([pa.array(words[some].astype(np.int64)), pa.array(known[some])], schema=schema)
+        else:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.float64())], schema=schema)
+
+    found = docs.select(F.col(text_col), F.xxhash64(text_col)).mapInArrow(count, ddl).groupBy("h").agg(F.sum("n").alias("n"))
+    table = (found.where(F.col("n") >= MIN_DOCS) if words is None else found).orderBy("h").toArrow()
+    return table["h"].to_numpy().astype(np.uint32), table["n"].to_numpy()
+
+
+def _chosen(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The texts of a sample of ids of bounded size; equal texts count once."""
+    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(ids), "__id")
+    return checkpointed(own.select(F.xxhash64("__text").alias("k"), "__text").dropDuplicates(["k"]))
+
+
+def _gathered(chosen: DataFrame, words: np.ndarray) -> Sparse:
+    """The places of the chosen documents' features among the sorted words."""
 
     def build() -> Callable[[list], dict]:
-        own = (lambda t: word_hashes(t)) if wanted is None else (lambda t: word_hashes(t) & wanted)
-        return lambda texts: {"h": [np.array(sorted(own(t)), "<u4").tobytes() for t in texts]}
+        def own(text: str | None) -> bytes:
+            hashes = word_hashes(text)
+            return np.sort(places(words, np.fromiter(hashes, np.uint32, len(hashes)))).astype("<i4").tobytes() if len(words) else b""
+
+        return lambda texts: {"h": [own(t) for t in texts]}
 
-    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")  # a bounded sample
-    rows = own.select("__id", F.xxhash64("__text").alias("k"), struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).dropDuplicates(["k"]).collect()
-    return [np.frombuffer(bytes(r.h), "<u4") for r in sorted(rows, key=lambda r: r.k)]
+    rows = chosen.select("k", struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).collect()
+    return sparse([np.frombuffer(bytes(r.h), "<i4") for r in sorted(rows, key=lambda r: r.k)])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learns from the labels outside of the held-out fold; the prior is their toxic share."""
+    nothing = Model(np.zeros(0, np.uint32), np.zeros(0), -40.0)
     usable = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT))
     one = usable.groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
     counts = one.agg(F.count("*").alias("n"), F.sum(F.col("toxic").cast("long")).alias("toxic")).first()
     if not counts.n or not counts.toxic:
-        return Model({}, -40.0)
+        return nothing
     by_hash = [F.xxhash64("__id"), F.col("__id")]
-    toxic = one.where("toxic = 1").select("__id").orderBy(*by_hash).limit(MAX_POSITIVE)
-    others = docs.select(F.col(id_col).alias("__id")).where(F.col("__id").isNotNull() & (fold(F.col("__id"), FOLDS) != HELD_OUT))
-    sample = others.orderBy(*by_hash).limit(MAX_UNLABELLED).distinct()
+    positive = _chosen(docs, one.where("toxic = 1").select("__id").orderBy(*by_hash).limit(MAX_POSITIVE), id_col, text_col)
+    n_positive = positive.count()
+    if not n_positive:
+        return nothing
+    words, seen = feature_counts(positive, "__text")
+
+    others = docs.where(F.col(id_col).isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT))
+    copies = others.groupBy(F.xxhash64(text_col).alias("k")).agg(F.count("*").alias("n"))
+    total = others.count()
+    hot = {r.k: r.n for r in copies.where(F.col("n") > max(1, int(HOT_SHARE * total))).collect()}  # 1 / HOT_SHARE rows at most
+    total -= sum(hot.values()) - len(hot)
+    common, n = feature_counts(others, text_col, words, hot)
+    elsewhere = np.zeros(len(words))
+    elsewhere[np.searchsorted(words, common)] = n
+    often = seen / n_positive >= MIN_LIFT * (elsewhere / max(total, 1))
+    words = words[often]
+
+    sample = others.select(F.col(id_col).alias("__id")).orderBy(*by_hash).limit(MAX_UNLABELLED).distinct()
     prior = min(max(counts.toxic / counts.n, 0.001), 0.9)
-    positive = _gathered(docs, toxic, id_col, text_col)
-    features, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *positive]), return_counts=True)
-    wanted = set(features[n >= max(MIN_DOCS, MIN_SHARE * len(positive))].tolist())
-    return fit_nnpu(positive, _gathered(docs, sample, id_col, text_col, wanted), prior)
+    w = fit_nnpu(_gathered(positive, words), _gathered(_chosen(docs, sample, id_col, text_col), words), len(words), prior)
+    return Model(words, w[:-1], float(w[-1]))
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

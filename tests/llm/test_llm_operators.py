@@ -451,6 +451,50 @@ def test_toxicity(spark, odd, empty):
     assert toxicity_pu.toxicity_classifier(empty, labels).count() == 0
 
 
+def test_risk_and_its_slopes():
+    """Against sums document by document, and slopes against differences of the risk."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    size, prior = 7, 0.2
+    draw = lambda n: [np.flatnonzero(rng.random(size) < 0.4) for _ in range(n)]
+    pos, un = draw(9), [*draw(20), np.zeros(0, int)]
+    positive, unlabelled = toxicity_pu.sparse(pos), toxicity_pu.sparse(un)
+    for _ in range(5):
+        w = rng.normal(size=size + 1)
+        z = lambda d, w=w: sum(w[k] for k in d) + w[-1]
+        toxic, rest, to_toxic, to_rest = toxicity_pu.risk(w, positive, unlabelled, prior)
+        assert math.isclose(toxic, prior * sum(math.log(1 + math.exp(-z(d))) for d in pos) / len(pos))
+        assert math.isclose(rest, sum(math.log(1 + math.exp(z(d))) for d in un) / len(un) - prior * sum(math.log(1 + math.exp(z(d))) for d in pos) / len(pos), abs_tol=1e-12)
+        for k in range(size + 1):
+            step = np.eye(size + 1)[k] * 1e-6
+            up, down = toxicity_pu.risk(w + step, positive, unlabelled, prior), toxicity_pu.risk(w - step, positive, unlabelled, prior)
+            assert math.isclose((up[0] - down[0]) / 2e-6, to_toxic[k], abs_tol=1e-6)
+            assert math.isclose((up[1] - down[1]) / 2e-6, to_rest[k], abs_tol=1e-6)
+    w = toxicity_pu.fit_nnpu(toxicity_pu.sparse([np.array([0, 1])] * 5), toxicity_pu.sparse([np.array([0, 1])] * 2 + [np.array([2])] * 8), 3, 0.2)
+    assert w[0] + w[1] + w[-1] > 0 > w[2] + w[-1]
+
+
+def test_feature_counts_and_scores(spark, docs):
+    import numpy as np
+
+    own = [(i, t) for i, t in docs.items()] + [(-k, "hot text of many copies") for k in range(1, 9)]
+    table = spark.createDataFrame(own, "doc_id long, text string").repartition(5)
+    tally = collections.Counter(h for _, t in own for h in toxicity_pu.word_hashes(t))
+    words, n = toxicity_pu.feature_counts(table, "text")
+    assert dict(zip(words.tolist(), n.tolist(), strict=True)) == {h: c for h, c in tally.items() if c >= toxicity_pu.MIN_DOCS}
+    hot = {table.select(F.xxhash64(F.lit("hot text of many copies"))).first()[0]: 8}
+    got = dict(zip(*(x.tolist() for x in toxicity_pu.feature_counts(table, "text", words, hot)), strict=True))
+    light = toxicity_pu.word_hashes("hot text of many copies")
+    assert all(math.isclose(got[h], tally[h] - 7 * (h in light)) for h in got) and set(got) == set(words.tolist())
+    weights = np.linspace(-1, 1, len(words))
+    model = toxicity_pu.Model(words, weights, -0.5)
+    by_word = dict(zip(words.tolist(), weights.tolist(), strict=True))
+    texts = [None, "", *docs.values()]
+    slow = [1 / (1 + math.exp(-max(-40, min(40, -0.5 + sum(by_word.get(h, 0) for h in toxicity_pu.word_hashes(t)))))) for t in texts]
+    assert np.allclose(model.scores(texts), slow)
+
+
 # ---- 8
 
 
