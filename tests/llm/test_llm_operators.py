@@ -362,36 +362,67 @@ def test_personal_data(spark, sf, docs, odd, empty):
 
 
 def test_field_decodes_like_all_paths():
+    import numpy as np
+
     field = pii_crf.default_field()
     assert field.decided()
-    shapes = [pii_crf.shape_of(w) for w in ("(499)", "555-6503", "4111", "a@b.co", "12", "10.0.0.1")]
     states = range(len(pii_crf.STATES))
-    for run in itertools.product(shapes, repeat=3):
-        e = [field.emission(s) for s in run]
+    for run in itertools.product(("(499)", "555-6503,", "4111", "a@b.co", "0171", "10.0.0.1"), repeat=3):
+        e = [field.emission(x) for x in pii_crf.seen_in(["call", *run, "now"])[1:-1]]
 
         def score(path, e=e):
             full = (0, *path, 0)
             return sum(field.moves[a, b] for a, b in itertools.pairwise(full)) + sum(x[y] for x, y in zip(e, path, strict=True))
 
-        import numpy as np
-
         own = tuple(field.decode(np.array([e]))[0].tolist())
         assert abs(score(own) - max(map(score, itertools.product(states, repeat=3)))) < 1e-9
 
 
+def test_plain_words_are_outside_on_whole_lines():
+    """Runs between plain words decode as whole lines do."""
+    field = pii_crf.default_field()
+    runs, lines = pii_crf.Finder(field), pii_crf.Finder(field)
+    lines.whole_lines = True
+    texts = [" ".join(w) for w, _ in pii_crf.labelled_sentences(copies=3, seed=41)] + ["Call Ann at 0171 234 5678 or ONE: 2001:db8::1 !", "é 12 ü 0171 234 5678\nfax: 030 1234 5678"]
+    base = [pii_crf.base_spans(t) for t in texts]
+    assert list(map(sorted, runs.added(texts, base))) == list(map(sorted, lines.added(texts, base)))
+
+
 def test_field_adds_what_patterns_miss():
+    import numpy as np
+
     finder = pii_crf.Finder(pii_crf.default_field())
     held_out = pii_crf.labelled_sentences(copies=2, seed=99)
-    right = sum(
-        [pii_crf.STATES[s] for s in finder.field.decode(__import__("numpy").array([[finder.field.emission(pii_crf.shape_of(w)) for w in words]]))[0]] == states for words, states in held_out
-    )
+    right = sum([pii_crf.STATES[s] for s in finder.field.decode(np.array([[finder.field.emission(x) for x in pii_crf.seen_in(words)]]))[0]] == states for words, states in held_out)
     assert right >= 0.85 * len(held_out)
-    texts = ["ring (499) 555-6503 now", "mail bob[at]site.com today", "the token = 3c4226790fc3f8022bcc4434e93601b2005f1325 of version 2.0."]
-    found = [pii_crf.written(a) for _, a in finder.find(texts)]
-    assert found == ["phone:5:19", "email:5:20", ""]
+    found = {
+        "ring (499) 555-6503 now": "phone:5:19",
+        "mail bob[at]site.com today": "email:5:20",
+        "the token = 3c4226790fc3f8022bcc4434e93601b2005f1325 of version 2.0.": "",
+        "call me at 0171 234 5678": "phone:11:24",
+        "call 415-555-1234, 212-555-9876 now": "phone:5:17,phone:19:31",
+        "call (415) 555-1234 (212) 555-9876": "phone:5:19,phone:20:34",
+        "+1 499 555 6503, 415-555-1234": "phone:0:15,phone:17:29",
+        "call 0171 234 5678 0171 234 5679": "phone:5:18,phone:19:32",
+        "cards 4111-1111-1111-1111, 5500-0000-0000-0004": "card:6:25,card:27:46",
+        "ping 2001:db8::8a2e:370:7334 now": "ip:5:28",
+        "born 12-05-1987 at 10:30:25": "",
+        "it ran from 10:30:25 to 11:02:59.120 on 2024-01-31": "",
+        "at 12:05:33 , 12:05:34 and 10::30": "",
+        "version 12.4.1 , build 2024.01.31 and 1.2.3-rc4": "",
+        "a population of 12 345 678 in 2010": "",
+        "isbn 978-3-16-148410-0 , pages 120-128": "",
+        "std::vector<a1> and 00:1a:2b:3c:4d:5e": "",
+    }
+    assert {t: pii_crf.written(a) for t, (_, a) in zip(found, finder.find(list(found)), strict=True)} == found
     assert pii_crf.redacted("a@b.co and 10.0.0.1", [(0, 0, 6), (1, 11, 19)]) == "[EMAIL] and [IP]"
 
 
+@pytest.mark.parametrize("word,good", [("1:2:3:4:5:6:7:8", True), ("1:2:3:4:5:6:7", False), ("fe80::1:2", True), ("10:30:25", False), ("a::b::c", False), ("::1", False), ("1:::2:3", False), ("12345::1:2", False)])
+def test_ipv6(word, good):
+    assert pii_crf.is_ipv6(word) == good
+
+
 # ---- 6 and 7
 
 
