@@ -11,34 +11,43 @@ from lexspark.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null and empty texts have no words and go; repeated rows are judged row by
+    row, very long texts whole. An empty table stays empty, further columns of any name pass through."""
     name = fresh_name(docs, "__quality")
     return docs.select("*", quality_bands.quality_column(F.col("text")).alias(name)).where(F.col(name)["kept"]).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, that of the smallest doc_id."""
+    """One document of each component of near copies, that of the smallest doc_id. Null and empty texts are one component;
+    repeated rows leave one; where a doc_id repeats with different texts, each text is its own row. A component without any
+    doc_id leaves one row. An empty table stays empty, further columns of any name pass through."""
     return simhash.keep_representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window. Null and empty texts have no words and stay; repeated rows are judged row by row,
+    very long texts whole. An empty table stays empty, an empty benchmark leaves all, further columns of any name pass through."""
     name = fresh_name(docs, "__hits")
     hits = decontam.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), name)
     return hits.where(~decontam.contaminated(F.col(name))).drop(name)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind; n_chars counts the new text."""
+    """All documents, with personal data replaced by its kind; n_chars, where there is one, counts the new text. Null texts
+    stay null, empty ones empty; repeated rows are judged row by row, very long texts whole. An empty table stays empty,
+    further columns of any name pass through."""
     text = pii_crf.redact_column(F.col("text"))
     name = fresh_name(docs, "__text")
     found = docs.select("*", text.alias(name))
-    new = {"text": F.col(name), "n_chars": F.length(name).cast(docs.schema["n_chars"].dataType)}
+    new = {"text": F.col(name)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(name).cast(docs.schema["n_chars"].dataType)
     return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, in sequences."""
+    """The pieces of all documents, in sequences. Null and empty texts are the end token alone; repeated rows are packed row by
+    row, very long texts in pieces. An empty table gives no rows; only doc_id and text are read."""
     return packing.pack(docs, tokenizer_path())
 
 
