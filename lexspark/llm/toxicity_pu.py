@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -85,20 +86,30 @@ class Model:
     def __init__(self, words: np.ndarray, weights: np.ndarray, bias: float):
         self.words, self.weights, self.bias = words, weights, bias
 
+    def scorer(self) -> Callable[[list], dict]:
+        lookup = Lookup(self.words)
+
+        def score(texts: list) -> dict:
+            own = lookup.sparse(texts)
+            raw = self.bias + np.bincount(own.rows, self.weights[own.columns], own.n)
+            return {"score": 1 / (1 + np.exp(-np.clip(raw, -40, 40)))}
+
+        return score
+
     def scores(self, texts: list) -> np.ndarray:
-        found = [np.fromiter(h, np.uint32, len(h)) for h in map(word_hashes, texts)]
-        raw = np.full(len(texts), self.bias)
-        if len(self.words) and found:
-            own = sparse([places(self.words, x) for x in found])
-            raw += np.bincount(own.rows, self.weights[own.columns], own.n)
-        return 1 / (1 + np.exp(-np.clip(raw, -40, 40)))
+        return self.scorer()(texts)["score"]
 
 
-def places(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Where those of the hashes that are among the sorted words stand there."""
-    at = np.searchsorted(words, hashes)
-    at[at == len(words)] = 0
-    return at[words[at] == hashes]
+class Lookup:
+    """Places of texts' features among sorted words."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.known = words, frozenset(words.tolist())
+
+    def sparse(self, texts: list) -> Sparse:
+        found = [self.known & word_hashes(t) for t in texts]
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        return Sparse(len(texts), np.repeat(np.arange(len(texts)), list(map(len, found))), np.searchsorted(self.words, flat))
 
 
 def risk(w: np.ndarray, positive: Sparse, unlabelled: Sparse, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
@@ -141,19 +152,21 @@ def feature_counts(docs: DataFrame, text_col: str, words: np.ndarray | None = No
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, float] = {}
+        lookup = None if words is None else Lookup(words)
         known = np.zeros(0 if words is None else len(words))
         for batch in batches:
             weights = [1 / hot.get(k, 1) for k in batch.column(1).to_pylist()]
             done = 0
             for part in slices(batch.column(0)):
-                for text, weight in zip(part.to_pylist(), weights[done : done + len(part)], strict=True):
-                    own = word_hashes(text)
-                    if words is None:
-                        for h in own:
-                            total[h] = total.get(h, 0.0) + weight
-                    elif len(words):
-                        known[places(words, np.fromiter(own, np.uint32, len(own)))] += weight
+                own = weights[done : done + len(part)]
                 done += len(part)
+                if lookup:
+                    found = lookup.sparse(part.to_pylist())
+                    known += np.bincount(found.columns, np.array(own)[found.rows], len(known))
+                    continue
+                for text, weight in zip(part.to_pylist(), own, strict=True):
+                    for h in word_hashes(text):
+                        total[h] = total.get(h, 0.0) + weight
         if words is not None:
             some = np.flatnonzero(known)
             yield pa.RecordBatch.from_arrays([pa.array(words[some].astype(np.int64)), pa.array(known[some])], schema=schema)
@@ -175,11 +188,8 @@ def _gathered(chosen: DataFrame, words: np.ndarray) -> Sparse:
     """The places of the chosen documents' features among the sorted words."""
 
     def build() -> Callable[[list], dict]:
-        def own(text: str | None) -> bytes:
-            hashes = word_hashes(text)
-            return np.sort(places(words, np.fromiter(hashes, np.uint32, len(hashes)))).astype("<i4").tobytes() if len(words) else b""
-
-        return lambda texts: {"h": [own(t) for t in texts]}
+        lookup = Lookup(words)
+        return lambda texts: {"h": [np.sort(lookup.sparse([t]).columns).astype("<i4").tobytes() for t in texts]}
 
     rows = chosen.select("k", struct_kernel(build, "h binary")(F.col("__text"))["h"].alias("h")).collect()
     return sparse([np.frombuffer(bytes(r.h), "<i4") for r in sorted(rows, key=lambda r: r.k)])
@@ -218,7 +228,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    score: Column = struct_kernel(lambda: lambda texts: {"score": model.scores(texts)}, "score double")(F.col(text_col))["score"]
+    score: Column = struct_kernel(lambda: model.scorer(), "score double")(F.col(text_col))["score"]
     scored = docs.select(F.col(id_col), score.alias("score"))
     return scored.select(
         F.col(id_col),
