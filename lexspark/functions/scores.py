@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The weights of the two aims.
-COMPREHENSION = {"zipf_need": 0.40, "book_gain": 0.20, "fr_opacity": 0.15, "sense_surprise": 0.15, "aoa_component": 0.10}
-REUSE = {"reuse": 0.45, "book_gain": 0.20, "fr_opacity": 0.15, "sense_surprise": 0.20}
+COMPREHENSION = {"zipf_need": 0.40, "aoa_component": 0.20, "fr_opacity": 0.15, "sense_surprise": 0.15, "book_gain": 0.10}
+REUSE = {"zipf_need": 0.45, "aoa_component": 0.20, "fr_opacity": 0.15, "reuse": 0.20}
 #: Opacity of expressions by label, and their need.
 EXPRESSION_OPACITY = {"idiome": 0.9, "phrasal_verb": 0.7, "semi_fige": 0.5}
 EXPRESSION_NEED = 0.6
+#: Fixed value: expressions less sure than this are looked at again.
+EXPRESSION_REVIEW_BELOW = 0.6
 
 
 def clip01(c: Column) -> Column:
@@ -36,7 +38,7 @@ def aoa_component(residual: Column, sign: int = -1) -> Column:
 
 
 def sense_surprise(count: Column, total: Column) -> Column:
-    return F.when(F.coalesce(total, F.lit(0)) == 0, 0.5).otherwise(1 - count / total)
+    return F.when(F.coalesce(total, F.lit(0)) == 0, 0.5).otherwise(clip01(1 - F.coalesce(count, F.lit(0)) / total))
 
 
 def book_gain(n: Column) -> Column:

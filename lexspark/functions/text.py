@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexspark.functions.kernels import french_stems
+
 #: Accented Latin letters and their bare ones.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďēęěğīįłńňōőŕřśšţťūůűźżžÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
 BARE = "aaaaaaceeeeiiiinooooouuuuyyaaaccdeeegiilnnoorrssttuuuzzzAAAAAACEEEEIIIINOOOOOUUUUY"
@@ -32,6 +34,8 @@ HEAD_MARKERS = ("se", "s", "le", "la", "les", "l", "un", "une", "de", "du", "des
 STOP_WORDS = (*HEAD_MARKERS, "etre", "avoir", "que", "qui", "ce", "cette", "ces", "son", "sa", "ses", "qqn", "qqch")
 #: Parentheses that tell how a word is used and are no gloss.
 USAGE_MARKS = ("de", "d'", "a", "à", "au", "aux", "du", "des", "qqn", "qqch", "qqn.", "qqch.", "de qqch", "de qqn", "a qqn", "a qqch", "à qqn", "à qqch", "qqn de qqch", "se", "s'")
+#: What parts synonyms in one cell.
+SYNONYMS = "[;/,]"
 
 
 def fold(c: Column) -> Column:
@@ -76,11 +80,20 @@ def normalize_phrase(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9' ]", " "), " +", " "))
 
 
+_PARENTHESIS = r"(?s)^(.*?)\(([^)]*)\)(.*)$"
+
+
+def without_gloss(c: Column) -> Column:
+    """The text without its first parenthesis."""
+    whole = F.concat(F.regexp_extract(c, _PARENTHESIS, 1), F.regexp_extract(c, _PARENTHESIS, 3))
+    return F.when(c.rlike(_PARENTHESIS), F.regexp_replace(F.trim(whole), r"\s+", " ")).otherwise(F.trim(c))
+
+
 def split_gloss(c: Column) -> Column:
-    """(head, gloss): the first parenthesis is the gloss unless it is a usage mark."""
-    inside = F.trim(F.regexp_extract(c, r"\(([^)]*)\)", 1))
-    head = F.trim(F.regexp_replace(F.regexp_replace(c, r"\([^)]*\)", " "), " +", " "))
-    return F.struct(head.alias("head"), F.when((inside != "") & ~F.lower(inside).isin(*USAGE_MARKS), inside).alias("gloss"))
+    """(head, gloss): the first parenthesis is the gloss unless it is a usage mark; further ones stay in the head."""
+    inside = F.trim(F.regexp_extract(c, _PARENTHESIS, 2))
+    usage = F.btrim(strip_accents(fold(inside)), F.lit(" .")).isin(*USAGE_MARKS)
+    return F.struct(without_gloss(c).alias("head"), F.when((inside != "") & ~usage, inside).alias("gloss"))
 
 
 def clean_tokens(c: Column) -> Column:
@@ -89,13 +102,32 @@ def clean_tokens(c: Column) -> Column:
     return F.filter(F.split(bare, " +"), lambda w: w != "")
 
 
-def content_tokens(c: Column) -> Column:
-    """Stems of a phrase's words that carry content."""
-    return F.transform(F.filter(clean_tokens(c), lambda w: (F.length(w) > 2) & ~w.isin(*STOP_WORDS)), fr_stem)
+def content_parts(c: Column) -> Column:
+    """For each synonym of a cell its content words, folded, in order: no gloss, no stop words, none of two letters or fewer."""
+    own = lambda part: F.filter(clean_tokens(without_gloss(part)), lambda w: (F.length(w) > 2) & ~w.isin(*STOP_WORDS))
+    return F.transform(F.split(c, SYNONYMS), own)
+
+
+def content_word_set(c: Column) -> Column:
+    """The stems of all content words of a cell."""
+    return F.array_distinct(F.flatten(french_stems(F.coalesce(content_parts(c), F.array().cast("array<array<string>>")))))
+
+
+def readable_content_words(c: Column) -> Column:
+    """The content words of a cell as they are written."""
+
+    def own(part: Column) -> Column:
+        bare = F.transform(F.split(without_gloss(part), r"[-'\s]+"), lambda w: F.btrim(w, F.lit(" .,;:!?\"'()")))
+        key = lambda w: strip_accents(fold(w))
+        return F.filter(bare, lambda w: (F.length(key(w)) > 2) & ~key(w).isin(*STOP_WORDS))
+
+    return F.flatten(F.transform(F.split(c, SYNONYMS), own))
 
 
 def head_stem(c: Column) -> Column:
-    return fr_stem(F.get(F.filter(clean_tokens(c), lambda w: ~w.isin(*HEAD_MARKERS)), F.lit(0)))
+    """The stem of the first synonym's first content word; null if it has none."""
+    first = F.transform(F.slice(content_parts(c), 1, 1), lambda words: F.slice(words, 1, 1))
+    return F.get(F.flatten(french_stems(F.coalesce(first, F.array().cast("array<array<string>>")))), F.lit(0))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -104,12 +136,15 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def candidates_match(a: Column, b: Column) -> Column:
-    """Two phrases match if they share a content word."""
-    return F.coalesce(F.arrays_overlap(content_tokens(a), content_tokens(b)), F.lit(False))
+    """Two cells match if they share a content word's stem (as equal heads do)."""
+    return F.coalesce(F.arrays_overlap(content_word_set(a), content_word_set(b)), F.lit(False))
 
 
 def any_match(candidates: Column, resources: Column) -> Column:
-    return F.exists(candidates, lambda x: F.exists(resources, lambda y: candidates_match(x, y)))
+    """Whether any candidate matches any resource: their content words are put together, as one shared stem is enough."""
+    parts = lambda values: F.flatten(F.transform(F.array_compact(F.coalesce(values, F.array().cast("array<string>"))), content_parts))
+    words = lambda values: F.array_distinct(F.flatten(french_stems(parts(values))))
+    return F.coalesce(F.arrays_overlap(words(candidates), words(resources)), F.lit(False))
 
 
 def back_translation_key(c: Column) -> Column:

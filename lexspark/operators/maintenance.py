@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import any_match, head_stem, same_pos, sense_pos
+from lexspark.functions.text import any_match, head_stem, readable_content_words, same_pos, sense_pos
 from lexspark.operators.store import EXPORTABLE, first_match
 
 #: Pending agreements that ask for a new sense.
@@ -160,7 +160,7 @@ def adjudication_signals(entries: DataFrame, zipfs: DataFrame, least_zipf: float
     """resource_match, apertium_match, wordfreq_ok of entries (key, fr, fr_alt, resources, apertium)."""
     candidates = F.array_compact(F.concat(F.array("fr"), F.coalesce("fr_alt", F.array().cast("array<string>"))))
     rows = entries.withColumn("resource_match", any_match(candidates, F.col("resources"))).withColumn("apertium_match", any_match(candidates, F.col("apertium")))
-    words = entries.select("key", F.explode(F.filter(F.split(F.lower("fr"), "[^a-zà-ÿ]+"), lambda w: F.length(w) > 2)).alias("word"))
+    words = entries.select("key", F.explode(F.transform(readable_content_words(F.col("fr")), F.lower)).alias("word"))
     usual = words.join(zipfs, "word", "left").groupBy("key").agg(F.bool_and(F.coalesce(F.col("zipf") > least_zipf, F.lit(False))).alias("usual"))
     ok = F.when(F.col("fr").isNull(), False).otherwise(F.coalesce("usual", F.lit(True)))
     return rows.join(usual, "key", "left").withColumn("wordfreq_ok", ok).drop("usual")

@@ -75,17 +75,24 @@ def block_pairs(rows: DataFrame, group: str, order: str, starts: Column, text: s
     return pair.agg(F.max(F.when(F.col("run") % 2 == 0, F.col("t"))).alias("en"), F.max(F.when(F.col("run") % 2 == 1, F.col("t"))).alias("fr")).where("fr IS NOT NULL")
 
 
+#: Words that tell French text.
+FRENCH_MARKERS = r"\b(le|la|les|un|une|des|est|et|de|du|qui|que|pas|c'est|il|elle)\b"
+
+
 def alignment_quality(pairs: DataFrame, a: str = "en", b: str = "fr", low: float = 0.3, high: float = 3.0) -> DataFrame:
-    """One row: pairs, empty, duplicate and odd-length ones, and whether the pairs pass."""
-    ratio = F.length(b) / F.nullif(F.length(a), F.lit(0))
+    """One row: pairs, those without and with repeated French, swapped ones and those of odd lengths, and whether the pairs pass."""
+    french = lambda c: F.col(c).rlike("(?i)" + FRENCH_MARKERS)
+    filled = (F.trim(a) != "") & (F.trim(b) != "")
+    ratio = F.length(b) / F.greatest(F.length(a), F.lit(1))
     counts = pairs.agg(
         F.count("*").alias("n"),
-        F.count_if((F.trim(a) == "") | (F.trim(b) == "")).alias("n_empty"),
-        (F.count("*") - F.count_distinct(F.col(a))).alias("n_duplicate"),
-        F.count_if(ratio.isNull() | (ratio < low) | (ratio > high)).alias("n_odd"),
+        F.count_if(F.trim(b) == "").alias("n_empty"),
+        (F.count("*") - F.count_distinct(F.col(b))).alias("n_duplicate"),
+        F.count_if(~french(b) & french(a)).alias("n_swapped"),
+        F.count_if(filled & ((ratio < low) | (ratio > high))).alias("n_odd"),
     )
-    ok = (F.col("n_empty") <= 0.05 * F.col("n")) & (F.col("n_odd") <= 0.10 * F.col("n"))
-    return counts.withColumn("passes", ok)
+    n = F.col("n")
+    return counts.withColumn("passes", (n > 0) & (F.col("n_empty") <= 0.05 * n) & (F.col("n_swapped") <= 0.05 * n) & (F.col("n_odd") <= 0.10 * n))
 
 
 def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:

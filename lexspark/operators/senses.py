@@ -59,3 +59,74 @@ def dominant(counts: DataFrame, keys: list[str], value: str, count: str) -> Data
     """The most frequent value of each key, the smallest of equals."""
     best = F.min(F.struct((-F.col(count)).alias("n"), F.col(value).alias("v"))).alias("b")
     return counts.groupBy(*keys).agg(best).select(*keys, F.col("b.v").alias(value), (-F.col("b.n")).alias(count))
+
+
+#: The answer that no sense fits, and the confidence below which a choice is looked at again.
+NO_SENSE = "aucun_sens_adapte"
+LOW_CONFIDENCE = 0.6
+
+
+def analyse_occurrences(candidates: DataFrame, arbitration: DataFrame, keys: list[str], low: float = 0.15) -> DataFrame:
+    """The sense of each occurrence, from its candidates (keys, synset, n, gloss_score, fr_score), n their order in the inventory.
+
+    The final score is the sum of both. Close or empty scores, or gloss and French evidence that prefer different senses,
+    ask for arbitration (keys, selected, confidence): a choice out of the inventory is looked at again if it isn't confident;
+    that no sense fits, or no usable answer, is always looked at.
+    """
+    final = F.col("gloss_score") + F.col("fr_score")
+    first = lambda score: F.max_by(F.when(F.col(score) != 0, F.col("synset")), F.when(F.col(score) != 0, F.struct(score, -F.col("n"))))
+    ranked = F.sort_array(F.collect_list(F.struct(F.col("final").alias("s"), (-F.col("n")).alias("k"), "synset")), asc=False)  # as long as a word's inventory
+    one = candidates.withColumn("final", final).groupBy(*keys).agg(
+        ranked.alias("r"), F.bool_and(F.col("final") == 0).alias("all_zero"), first("gloss_score").alias("gloss_best"), first("fr_score").alias("fr_best")
+    )
+    second = F.get("r", F.lit(1))["s"]
+    rows = one.withColumns({
+        "margin": F.when(second.isNull(), 1.0).otherwise(F.get("r", F.lit(0))["s"] - second),
+        "disagreement": F.coalesce(F.col("gloss_best") != F.col("fr_best"), F.lit(False)),
+        "top": F.get("r", F.lit(0))["synset"],
+        "inventory": F.transform("r", lambda x: x["synset"]),
+    })
+    asked = rows.withColumn("asked", needs_arbitration(F.col("margin"), F.col("all_zero"), F.col("disagreement"), low)).join(arbitration, keys, "left")
+    usable = F.col("asked") & F.coalesce(F.array_contains("inventory", F.col("selected")), F.lit(False))
+    none = F.col("asked") & F.coalesce(F.col("selected") == NO_SENSE, F.lit(False))
+    return asked.select(
+        *keys, "inventory", "margin", "all_zero", "disagreement", "asked",
+        F.when(usable, F.col("selected")).when(none, NO_SENSE).otherwise(F.col("top")).alias("best_sense"),
+        F.when(~F.col("asked"), False).when(usable, F.coalesce("confidence", F.lit(0.0)) < LOW_CONFIDENCE).otherwise(True).alias("needs_review"),
+    )
+
+
+def claimed_stems(rows: DataFrame, french: DataFrame) -> DataFrame:
+    """(rows' columns, claimed): the stems of the word itself, and of all French words (word, fr) of the sentence's other content words.
+
+    rows has id, word and en.
+    """
+    from lexspark.functions.text import content_words, fr_stem
+
+    others = rows.select("id", F.explode(content_words(F.col("en"), F.col("word"))).alias("other"))
+    stems = french.select(F.lower("word").alias("other"), fr_stem(F.col("fr")).alias("stem")).distinct()
+    explained = others.join(stems, "other").groupBy("id").agg(F.collect_set("stem").alias("stems"))
+    own = F.array(fr_stem(F.col("word")))
+    joined = rows.join(explained, "id", "left")
+    return joined.select(*rows.columns, F.array_sort(F.array_union(own, F.coalesce("stems", F.array().cast("array<string>")))).alias("claimed"))
+
+
+def span_context(rows: DataFrame, spans: DataFrame, group: str, order: str, text: str, around: int = 2) -> DataFrame:
+    """(span columns, context, start, end): the text of rows first to last of each span (group, first, last) with `around` more on each side."""
+    near = rows.select(group, F.col(order).alias("__n"), F.col(text).alias("__t"))
+    wide = spans.join(near, group).where(F.col("__n").between(F.col("first") - around, F.col("last") + around))
+    parts = F.array_sort(F.collect_list(F.struct("__n", "__t")))
+    text_of = lambda keep: F.array_join(F.transform(F.filter("parts", keep), lambda x: x["__t"]), " ")
+    joined = wide.groupBy(*spans.columns).agg(parts.alias("parts"))
+    before = text_of(lambda x: x["__n"] < F.col("first"))
+    upto = text_of(lambda x: x["__n"] <= F.col("last"))
+    start = F.when(F.exists("parts", lambda x: x["__n"] < F.col("first")), F.length(before) + 1).otherwise(0)
+    return joined.select(*spans.columns, text_of(lambda x: x["__n"].isNotNull()).alias("context"), start.alias("start"), F.length(upto).alias("end"))
+
+
+def expression_occurrences(units: DataFrame, spans: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(key, segment, context, target_surface) of expressions (canonical_form, label, segments); of several spans of one in a segment the last counts."""
+    last = spans.groupBy("idiom", "segment").agg(F.max_by("surface", "start").alias("surface"))
+    asked = units.select("canonical_form", F.concat_ws(":", F.lit("mwe"), "canonical_form", "label").alias("key"), F.explode("segments").alias("segment"))
+    joined = asked.join(last.withColumnRenamed("idiom", "canonical_form"), ["canonical_form", "segment"], "left").join(contexts.where("context <> ''"), "segment")
+    return joined.select("key", "segment", "context", F.coalesce("surface", "canonical_form").alias("target_surface"))

@@ -76,10 +76,14 @@ def q_block_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return turn_pairs(spark, sf)
 
 
+MARKERS_SQL = seg.FRENCH_MARKERS.replace("'", "''")
+
+
 @query(f"""WITH {PAIRS_SQL}, c AS (
-  SELECT count(*) AS n, count(*) FILTER (WHERE trim(en) = '' OR trim(fr) = '') AS n_empty, count(*) - count(DISTINCT en) AS n_duplicate,
-    count(*) FILTER (WHERE length(en) = 0 OR length(fr) / length(en) < 0.3 OR length(fr) / length(en) > 3.0) AS n_odd FROM pairs)
-SELECT *, n_empty <= 0.05 * n AND n_odd <= 0.10 * n AS passes FROM c""")
+  SELECT count(*) AS n, count(*) FILTER (WHERE trim(fr) = '') AS n_empty, count(*) - count(DISTINCT fr) AS n_duplicate,
+    count(*) FILTER (WHERE NOT regexp_matches(fr, '{MARKERS_SQL}', 'i') AND regexp_matches(en, '{MARKERS_SQL}', 'i')) AS n_swapped,
+    count(*) FILTER (WHERE trim(en) <> '' AND trim(fr) <> '' AND (length(fr) / greatest(1, length(en)) < 0.3 OR length(fr) / greatest(1, length(en)) > 3.0)) AS n_odd FROM pairs)
+SELECT *, n > 0 AND n_empty <= 0.05 * n AND n_swapped <= 0.05 * n AND n_odd <= 0.10 * n AS passes FROM c""")
 def q_alignment_quality(spark: SparkSession, sf: str) -> DataFrame:
     return seg.alignment_quality(turn_pairs(spark, sf))
 
@@ -226,14 +230,14 @@ def q_diverse_occurrences(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {WORDS_SQL}, t AS (SELECT word, count(*) AS book_count, count(DISTINCT doc_id) AS dispersion FROM tok WHERE lang = 'en' GROUP BY word),
 z AS (SELECT *, log10(book_count / (SELECT sum(book_count) FROM t) * 1e9) AS zipf FROM t WHERE length(word) >= 3),
-u AS (SELECT *, greatest(0, least(1, (6 - zipf) / 4)) AS zipf_need, greatest(0, least(1, ln(1 + dispersion) / ln(21))) AS book_gain FROM z)
+u AS (SELECT *, greatest(0, least(1, (6 - zipf) / 4)) AS zipf_need, greatest(0, least(1, ln(1 + book_count) / ln(21))) AS book_gain FROM z)
 SELECT word, book_count, dispersion, round(zipf, 6) AS zipf, round(0.6 * zipf_need + 0.4 * book_gain, 6) AS score FROM u ORDER BY score DESC, word LIMIT 50""")
 def q_top_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: words of the English documents by need and gain."""
     per_type = tok.types(doc_tokens(spark, sf).where("lang = 'en'"), ["word"], "doc_id")
     total = per_type.agg(F.sum("book_count").alias("total"))
     rows = per_type.crossJoin(F.broadcast(total)).where(F.length("word") >= 3).withColumn("zipf", S.zipf(F.col("book_count"), F.col("total")))
-    score = 0.6 * S.zipf_need(F.col("zipf")) + 0.4 * S.book_gain(F.col("dispersion"))
+    score = 0.6 * S.zipf_need(F.col("zipf")) + 0.4 * S.book_gain(F.col("book_count"))
     return rows.select("word", "book_count", "dispersion", F.round("zipf", 6).alias("zipf"), F.round(score, 6).alias("score")).orderBy(F.desc("score"), "word").limit(50)
 
 

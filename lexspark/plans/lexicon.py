@@ -32,7 +32,7 @@ tot AS (SELECT lang, sum(book_count) AS total FROM t0 GROUP BY lang),
 t1 AS (SELECT word, t0.lang, book_count, dispersion, dispersion / n_docs AS pknown, log10(book_count / total * 1e9) AS zipf FROM t0 JOIN nd ON t0.lang = nd.lang JOIN tot ON t0.lang = tot.lang),
 types AS (SELECT *, {LEVEL_SQL} AS level FROM t1)"""
 NEED_SQL = "greatest(0, least(1, (6 - zipf) / 4))"
-GAIN_SQL = "greatest(0, least(1, ln(1 + dispersion) / ln(21)))"
+GAIN_SQL = "greatest(0, least(1, ln(1 + book_count) / ln(21)))"
 
 
 @query(f"""WITH {TYPES_SQL} SELECT word, lang, CASE WHEN book_count >= 50 AND pknown < 0.20 THEN 'pknown' WHEN length(word) > 14 THEN 'named_entity' WHEN level IN ('A1', 'A2') THEN 'cefr' END AS drop_reason
@@ -121,9 +121,9 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
         S.aoa_component(S.aoa_residual(aoa, F.col("zipf"))).alias("aoa_component"),
         F.when(F.length("word") >= 8, 0.7).otherwise(0.5).alias("fr_opacity"),
         S.sense_surprise(F.col("dispersion"), F.col("book_count")).alias("sense_surprise"),
-        S.book_gain(F.col("dispersion")).alias("book_gain"),
+        S.book_gain(F.col("book_count")).alias("book_gain"),
     ).withColumn("reuse", F.col("zipf_need"))
-    scored = parts.withColumn("score_comprehension", S.clip01(S.weighted(S.COMPREHENSION))).withColumn("score_reuse", S.clip01(S.weighted(S.REUSE)))
+    scored = parts.withColumn("score_comprehension", S.weighted(S.COMPREHENSION)).withColumn("score_reuse", S.weighted(S.REUSE))
     return scored.withColumn("score_default", (F.col("score_comprehension") + F.col("score_reuse")) / 2)
 
 
@@ -131,8 +131,8 @@ UNITS_SQL = f"""{TYPES_SQL}, p AS (SELECT word, book_count, dispersion, zipf, {N
   CASE WHEN length(word) <= 12 THEN greatest(0, least(1, 0.5 - (2.0 + length(word) - (12 - 1.1 * zipf)) / 8)) ELSE 0.5 END AS aoa_component,
   CASE WHEN length(word) >= 8 THEN 0.7 ELSE 0.5 END AS fr_opacity, 1 - dispersion / book_count AS sense_surprise, {GAIN_SQL} AS book_gain
   FROM types WHERE lang = 'en' AND length(word) >= 3),
-q AS (SELECT *, 0.40 * zipf_need + 0.20 * book_gain + 0.15 * fr_opacity + 0.15 * sense_surprise + 0.10 * aoa_component AS sc,
-  0.45 * zipf_need + 0.20 * book_gain + 0.15 * fr_opacity + 0.20 * sense_surprise AS sr FROM p),
+q AS (SELECT *, 0.40 * zipf_need + 0.20 * aoa_component + 0.15 * fr_opacity + 0.15 * sense_surprise + 0.10 * book_gain AS sc,
+  0.45 * zipf_need + 0.20 * aoa_component + 0.15 * fr_opacity + 0.20 * zipf_need AS sr FROM p),
 units AS (SELECT word, book_count, dispersion, zipf, zipf_need, aoa_component, sense_surprise, book_gain, sc AS score_comprehension, sr AS score_reuse, (sc + sr) / 2 AS score_default FROM q)"""
 
 

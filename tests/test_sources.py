@@ -96,7 +96,9 @@ def test_own_files(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     units = spark.createDataFrame([("b", ["x", "y"], 0.12345, True), ("a", ["z"], 0.5, False)], "canonical_form string, surface_forms array<string>, score_default double, needs_review boolean")
     S.write_csv(units, str(tmp_path / "u"))
-    assert rows(spark.read.csv(str(tmp_path / "u"), header=True), "canonical_form") == [("a", "z", "0.5", "false"), ("b", "x/y", "0.123", "true")]
+    written = spark.read.csv(str(tmp_path / "u"), header=True)
+    assert tuple(written.columns) == S.EXPORT and written.where("sense_id IS NOT NULL").count() == 0
+    assert rows(written.select("canonical_form", "surface_forms", "score_reuse", "needs_review"), "canonical_form") == [("a", "z", "0.5", "false"), ("b", "x/y", "0.123", "true")]
     assert S.review_queue(units).first().score_default == 0.12345
     S.write_jsonl(units, str(tmp_path / "j"))
     S.append_jsonl(units, str(tmp_path / "j"))
