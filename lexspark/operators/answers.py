@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexspark.operators.store import batches
+
 
 def translation_prompt(lemmas: Column, pos: Column, definition: Column, examples: Column) -> Column:
     """The question about one sense."""
@@ -23,7 +24,7 @@ def translation_prompt(lemmas: Column, pos: Column, definition: Column, examples
 
 def numbered_batches(questions: DataFrame, kind: str, key: str, size: int) -> DataFrame:
     """Questions in batches of one kind, numbered within it."""
-    return questions.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(kind).orderBy(key)) - 1) / size))
+    return batches(questions, kind, key, size)
 
 
 def ask(questions: DataFrame, client: Callable[[list[str]], list[str | None]], key: str = "key", prompt: str = "prompt", at_once: int = 40) -> DataFrame:

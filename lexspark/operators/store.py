@@ -70,18 +70,38 @@ def fully_removed(removed: DataFrame, remaining: DataFrame, keys: list[str]) ->
 
 def round_robin(rows: DataFrame, stratum: str, order: list[str], n: int) -> DataFrame:
     """n rows, taken in turn from the strata."""
-    marked = rows.withColumn("turn", F.row_number().over(W.partitionBy(stratum).orderBy(*order)))
-    return marked.where(F.col("turn") <= n).orderBy("turn", stratum).limit(n)
+    return first_of_each(rows, stratum, order, n).orderBy("turn", stratum).limit(n)
+
+
+def first_of_each(rows: DataFrame, stratum: str, order: list, n: int, spread: int = 64) -> DataFrame:
+    """The first n rows of each stratum, numbered (turn): taken in `spread` parts of a stratum first, so that a frequent one is no single task."""
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).alias("__part")
+    near = rows.select("*", part).withColumn("turn", F.row_number().over(W.partitionBy(stratum, "__part").orderBy(*order))).where(F.col("turn") <= n)
+    return near.drop("__part", "turn").withColumn("turn", F.row_number().over(W.partitionBy(stratum).orderBy(*order))).where(F.col("turn") <= n)
 
 
 def quota(rows: DataFrame, stratum: str, order: list, n: int) -> DataFrame:
     """The first n rows of each stratum."""
-    return rows.withColumn("turn", F.row_number().over(W.partitionBy(stratum).orderBy(*order))).where(F.col("turn") <= n)
+    return first_of_each(rows, stratum, order, n)
 
 
 def batches(rows: DataFrame, kind: str, order: str, size: int) -> DataFrame:
-    """Batch numbers within each kind."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(kind).orderBy(order)) - 1) / size))
+    """Batch numbers within each kind, in order. Ranks are taken inside ranges of (kind, order) and then offset by the
+    counts of the ranges before, so that no kind is a single task."""
+    import tempfile
+
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
+        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lexspark-checkpoint-"))
+    placed = rows.repartitionByRange(kind, order).withColumn("__part", F.spark_partition_id()).checkpoint()  # ranges must not change between the counts and the ranks
+    counts = placed.groupBy(kind, "__part").agg(F.count("*").alias("__own"))
+    before = counts.withColumn("__before", F.sum("__own").over(W.partitionBy(kind).orderBy("__part")) - F.col("__own")).drop("__own")  # a row a range
+    inside = F.row_number().over(W.partitionBy(kind, "__part").orderBy(order)) - 1
+    ranked = placed.withColumn("__inside", inside).join(before, [kind, "__part"])
+    return ranked.withColumn("batch", F.floor((F.col("__before") + F.col("__inside")) / size)).select(*rows.columns, "batch")
 
 
 def stage_a(n_signals: Column, wordfreq_ok: Column, collision: Column, status: Column, has_fr: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import words
@@ -39,15 +38,6 @@ def first_occurrence(rows: DataFrame, keys: list[str], *order: str) -> DataFrame
     return rows.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("f")).select(*keys, "f.*")
 
 
-def ngrams(rows: DataFrame, id_col: str, n: int) -> DataFrame:
-    """(id, pos, gram) of runs of n words."""
-    w = W.partitionBy(id_col).orderBy("pos")
-    parts = [F.col("word"), *[F.lead("word", k).over(w).alias(f"w{k}") for k in range(1, n)]]
-    wide = rows.select(id_col, "pos", *parts)
-    last = f"w{n - 1}" if n > 1 else "word"
-    return wide.where(F.col(last).isNotNull()).select(id_col, "pos", F.concat_ws(" ", "word", *[f"w{k}" for k in range(1, n)]).alias("gram"))
-
-
 def array_grams(texts: DataFrame, word_array: str, n: int, *keep: str) -> DataFrame:
     """(keep..., pos, gram) of the runs of n words of an array column: shifted copies are zipped, so no shuffle and no look-up by place."""
     size = F.size(word_array)
@@ -56,11 +46,13 @@ def array_grams(texts: DataFrame, word_array: str, n: int, *keep: str) -> DataFr
     return rows.select(*keep, "pos", F.concat_ws(" ", *[f"z.w{k}" for k in range(n)]).alias("gram"))
 
 
-def gapped(rows: DataFrame, id_col: str, first: str, second: str, slop: int = 2) -> DataFrame:
-    """Pairs of two words with at most `slop` others between; each side is filtered before the join."""
-    a = rows.where(F.col("word") == first).select(id_col, F.col("pos").alias("start"))
-    b = rows.where(F.col("word") == second).select(id_col, F.col("pos").alias("end"))
-    return a.join(b, id_col).where((F.col("end") > F.col("start")) & (F.col("end") - F.col("start") - 1 <= slop))
+def gapped(texts: DataFrame, id_col: str, word_array: str, first: str, second: str, slop: int = 2) -> DataFrame:
+    """(id, start, end): pairs of two words with at most `slop` others between; from each first word the next slop + 1 are looked at, without a shuffle."""
+    size = F.size(word_array)
+    ahead = [F.slice(word_array, k + 1, F.greatest(size - k, F.lit(0))).alias(f"w{k}") for k in range(slop + 2)]
+    places = texts.select(id_col, F.posexplode(F.arrays_zip(*ahead)).alias("start", "z")).where(F.col("z.w0") == first)
+    ends = F.array_compact(F.array(*[F.when(F.col(f"z.w{k}") == second, F.col("start") + k) for k in range(1, slop + 2)]))
+    return places.select(id_col, "start", F.explode(ends).alias("end"))
 
 
 def corpus_frequency(grams: DataFrame, id_col: str, total: DataFrame) -> DataFrame:

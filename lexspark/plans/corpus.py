@@ -133,8 +133,9 @@ def doc_grams(spark: SparkSession, sf: str, n: int) -> DataFrame:
 SELECT gram, count(*) AS book_count, count(DISTINCT doc_id) AS dispersion, round(count(*) * 1e6 / (SELECT count(*) FROM tok), 6) AS per_million
 FROM g3 GROUP BY gram HAVING count(*) >= 5""")
 def q_ngram_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    total = table(spark, sf, "documents").agg(F.sum(F.size(T.words(F.col("text")))).alias("n"))
-    found = tok.corpus_frequency(doc_grams(spark, sf, 3), "doc_id", total).where("book_count >= 5")
+    grams = doc_grams(spark, sf, 3)
+    total = table(spark, sf, "documents").agg(F.sum(F.size(T.words(F.col("text")))).alias("n"))  # one row, from a scan without shuffle
+    found = tok.corpus_frequency(grams, "doc_id", total).where("book_count >= 5")
     return found.withColumn("per_million", F.round("per_million", 6))
 
 
@@ -151,24 +152,33 @@ def q_ngram_examples(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {WORDS_SQL} SELECT a.doc_id, a.pos AS start, b.pos AS "end" FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND a.word = 'the' AND b.word = 'and'
 WHERE b.pos > a.pos AND b.pos - a.pos - 1 <= 2""")
 def q_slop_match(spark: SparkSession, sf: str) -> DataFrame:
-    return tok.gapped(doc_tokens(spark, sf), "doc_id", "the", "and", 2)
+    docs = table(spark, sf, "documents").select("doc_id", T.words(F.col("text")).alias("w"))
+    return tok.gapped(docs, "doc_id", "w", "the", "and", 2)
+
+
+#: Words by which passages are looked up.
+KEY_WORDS = 5
 
 
 def passage_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """Places of benchmark passages in documents: passages are looked up by their first five words, then compared whole."""
-    key = lambda c: F.array_join(F.slice(c, 1, 5), " ")
-    items = table(spark, sf, "benchmark").select("item_id", T.words(F.col("text")).alias("w")).where("size(w) >= 5").select("item_id", "w", key(F.col("w")).alias("gram"))
+    """Places of benchmark passages in documents: passages are looked up by their first words, KEY_WORDS or all they have, then compared whole."""
+    items = table(spark, sf, "benchmark").select("item_id", T.words(F.col("text")).alias("w")).where("size(w) > 0")
+    items = items.select("item_id", "w", F.array_join(F.slice("w", 1, KEY_WORDS), " ").alias("gram"))
+    known = items.select("gram").distinct()
     docs = table(spark, sf, "documents").select("doc_id", T.words(F.col("text")).alias("dw"))
-    places = tok.array_grams(docs, "dw", 5, "doc_id")
+    places = None
+    for n in range(1, KEY_WORDS + 1):  # places of words that no passage begins with go before the texts are joined
+        own = tok.array_grams(docs, "dw", n, "doc_id").join(known.where(F.size(F.split("gram", " ")) == n), "gram", "left_semi")
+        places = own if places is None else places.unionByName(own)
     hits = places.join(items, "gram").join(docs, "doc_id")
     whole = F.slice("dw", F.col("pos") + 1, F.size("w")) == F.col("w")
     return hits.where(whole).select("doc_id", "item_id", F.col("pos").alias("start"), (F.col("pos") + F.size("w")).alias("end"))
 
 
 PASSAGES_SQL = """items AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z]+') AS iw FROM benchmark),
-dpos AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docw WHERE len(w) >= 5),
+dpos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docw),
 spans AS (SELECT d.doc_id, b.item_id, d.i - 1 AS start, d.i - 1 + len(b.iw) AS stop
-  FROM dpos d JOIN items b ON array_to_string(d.w[d.i:d.i + 4], ' ') = array_to_string(b.iw[1:5], ' ') AND len(b.iw) >= 5
+  FROM dpos d JOIN items b ON d.w[d.i] = b.iw[1] AND len(d.w) >= d.i + len(b.iw) - 1
   WHERE array_to_string(d.w[d.i:d.i + len(b.iw) - 1], ' ') = array_to_string(b.iw, ' '))"""
 
 
@@ -185,9 +195,9 @@ def q_covered_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def frequent_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """Places of 3- and 4-grams that documents share."""
+    """Places of 2- to 4-grams that documents share."""
     grams = None
-    for n in (3, 4):
+    for n in (2, 3, 4):
         own = doc_grams(spark, sf, n).select("doc_id", F.col("pos").alias("start"), (F.col("pos") + n).alias("end"), F.col("gram").alias("label"))
         grams = own if grams is None else grams.unionByName(own)
     often = grams.groupBy("label").agg(F.count("*").alias("n")).where("n >= 12").select("label")
@@ -195,7 +205,7 @@ def frequent_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 FREQUENT_SQL = f"""WITH {WORDS_SQL}, ld AS (SELECT doc_id, pos, word, lead(word, 1) OVER w AS w1, lead(word, 2) OVER w AS w2, lead(word, 3) OVER w AS w3 FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-g AS (SELECT doc_id, pos AS start, pos + 3 AS stop, word || ' ' || w1 || ' ' || w2 AS label FROM ld WHERE w2 IS NOT NULL
+g AS (SELECT doc_id, pos AS start, pos + 2 AS stop, word || ' ' || w1 AS label FROM ld WHERE w1 IS NOT NULL UNION ALL SELECT doc_id, pos, pos + 3, word || ' ' || w1 || ' ' || w2 FROM ld WHERE w2 IS NOT NULL
   UNION ALL SELECT doc_id, pos, pos + 4, word || ' ' || w1 || ' ' || w2 || ' ' || w3 FROM ld WHERE w3 IS NOT NULL),
 f AS (SELECT * FROM g WHERE label IN (SELECT label FROM g GROUP BY label HAVING count(*) >= 12))"""
 
@@ -220,11 +230,11 @@ def q_context_window(spark: SparkSession, sf: str) -> DataFrame:
     return senses.context(table(spark, sf, "conversations"), "conv_id", "turn", "text").select("conv_id", "turn", "context", "start", "end")
 
 
-@query(f"""WITH {WORDS_SQL}, o AS (SELECT DISTINCT word, doc_id FROM tok WHERE length(word) >= 6),
+@query(f"""WITH {WORDS_SQL}, o AS (SELECT DISTINCT word, doc_id FROM tok),
 n AS (SELECT word, doc_id, row_number() OVER (PARTITION BY word ORDER BY doc_id) - 1 AS k, count(*) OVER (PARTITION BY word) AS n FROM o)
 SELECT word, doc_id FROM n WHERE k = 0 OR k = CAST(floor(n / 2) AS BIGINT)""")
 def q_diverse_occurrences(spark: SparkSession, sf: str) -> DataFrame:
-    rows = doc_tokens(spark, sf).where(F.length("word") >= 6).select("word", "doc_id").distinct()
+    rows = doc_tokens(spark, sf).select("word", "doc_id").distinct()
     return senses.diverse(rows, ["word"], ["doc_id"], 2)
 
 

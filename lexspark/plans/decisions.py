@@ -14,12 +14,12 @@ from lexspark.plans.registry import WORDS_SQL, query, table
 
 def entries(spark: SparkSession, sf: str) -> DataFrame:
     """The store: a row for each labelled document, status by its labels."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.substring("text", 1, 20).alias("fr"))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.concat_ws("-", "lang", "source").alias("fr"))
     status = F.when(F.col("toxic") == 1, "rejected").when(F.col("quality") == 0, "pending").when(F.col("doc_id") % 3 == 0, "validated").when(F.col("doc_id") % 3 == 1, "auto_joint").otherwise("auto_strong")
     return table(spark, sf, "labels").join(docs, "doc_id").withColumn("status", status)
 
 
-ENTRIES_SQL = """entries AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, left(d.text, 20) AS fr, l.quality, l.toxic,
+ENTRIES_SQL = """entries AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, d.lang || '-' || d.source AS fr, l.quality, l.toxic,
 CASE WHEN toxic = 1 THEN 'rejected' WHEN quality = 0 THEN 'pending' WHEN d.doc_id % 3 = 0 THEN 'validated' WHEN d.doc_id % 3 = 1 THEN 'auto_joint' ELSE 'auto_strong' END AS status
 FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
 
@@ -36,26 +36,26 @@ def q_status_gate(spark: SparkSession, sf: str) -> DataFrame:
     return entries(spark, sf).select("doc_id", decision.alias("d")).select("doc_id", "d.agreement", "d.status")
 
 
-@query(f"""WITH {ENTRIES_SQL}, n AS (SELECT doc_id, 'auto_llm' AS status, source AS fr FROM documents WHERE doc_id % 2 = 0)
+@query(f"""WITH {ENTRIES_SQL}, n AS (SELECT vec_id AS doc_id, 'auto_llm' AS status, CAST(label AS VARCHAR) AS fr FROM embeddings)
 SELECT coalesce(o.doc_id, n.doc_id) AS doc_id,
   CASE WHEN n.doc_id IS NULL OR (o.doc_id IS NOT NULL AND o.status IN ('validated', 'auto_joint')) THEN o.status ELSE n.status END AS status,
   CASE WHEN n.doc_id IS NULL OR (o.doc_id IS NOT NULL AND o.status IN ('validated', 'auto_joint')) THEN o.fr ELSE n.fr END AS fr,
   CASE WHEN n.doc_id IS NULL THEN 'untouched' WHEN o.doc_id IS NULL THEN 'inserted' WHEN o.status IN ('validated', 'auto_joint') THEN 'protected' ELSE 'updated' END AS action
 FROM entries o FULL JOIN n ON o.doc_id = n.doc_id""")
 def q_protected_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    new = table(spark, sf, "documents").where("doc_id % 2 = 0").select("doc_id", F.lit("auto_llm").alias("status"), F.col("source").alias("fr"))
+    new = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.lit("auto_llm").alias("status"), F.col("label").cast("string").alias("fr"))
     return store.upsert(entries(spark, sf), new, "doc_id", ["status", "fr"])
 
 
 @query(f"""WITH {ENTRIES_SQL}, s AS (SELECT doc_id, fr FROM entries WHERE status = 'validated'),
-c AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN fr || '!' ELSE fr END AS fr FROM entries WHERE status IN ('validated', 'auto_strong') AND doc_id % 5 <> 0)
+c AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN fr || '!' ELSE fr END AS fr FROM entries WHERE status IN ('validated', 'auto_strong') AND lang <> 'de')
 SELECT coalesce(s.doc_id, c.doc_id) AS doc_id, CASE WHEN c.doc_id IS NULL THEN 'missing' WHEN s.doc_id IS NULL THEN 'new' ELSE 'changed' END AS verdict
 FROM s FULL JOIN c ON s.doc_id = c.doc_id WHERE c.doc_id IS NULL OR s.doc_id IS NULL OR s.fr <> c.fr""")
 def q_lock_diff(spark: SparkSession, sf: str) -> DataFrame:
     rows = entries(spark, sf)
     saved = rows.where("status = 'validated'").select("doc_id", "fr")
     fr = F.when(F.col("doc_id") % 7 == 0, F.concat("fr", F.lit("!"))).otherwise(F.col("fr"))
-    current = rows.where("status IN ('validated', 'auto_strong') AND doc_id % 5 <> 0").select("doc_id", fr.alias("fr"))
+    current = rows.where("status IN ('validated', 'auto_strong') AND lang <> 'de'").select("doc_id", fr.alias("fr"))
     return store.lock_diff(saved, current, "doc_id", "fr")
 
 
@@ -97,16 +97,17 @@ def q_stage_b_c(spark: SparkSession, sf: str) -> DataFrame:
 STEM_SQL = "regexp_replace({}, '^(.{{3,}})[sx]$', '\\1')"
 
 
-@query(f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{{4,}}') AS w FROM documents),
-r AS (SELECT doc_id, list_transform(w[1:2], lambda x: {STEM_SQL.format('x')}) AS a, list_transform(w[2:4], lambda x: {STEM_SQL.format('x')}) AS b, {STEM_SQL.format('w[3]')} AS v, len(w) AS n FROM w),
+@query(f"""WITH w AS (SELECT doc_id, lang, source, regexp_extract_all(lower(text), '[a-z]{{4,}}') AS w FROM documents),
+r AS (SELECT doc_id, list_transform(list_distinct(w), lambda x: {STEM_SQL.format('x')}) AS a, list_transform(regexp_extract_all(lower(lang || ' ' || source || ' document'), '[a-z]{{4,}}'), lambda x: {STEM_SQL.format('x')}) AS b, {STEM_SQL.format('w[3]')} AS v, len(w) AS n FROM w),
 k AS (SELECT doc_id, n, v, CASE WHEN doc_id % 4 = 0 THEN [] ELSE a END AS a, CASE WHEN doc_id % 3 = 0 THEN [] ELSE b END AS b FROM r)
 SELECT doc_id, CASE WHEN len(list_intersect(a, b)) > 0 THEN 'concordantes' WHEN len(a) > 0 AND len(b) > 0 THEN 'divergentes' WHEN len(a) > 0 OR len(b) > 0 THEN 'source_unique' ELSE 'aucune_source' END AS agreement,
   CASE WHEN len(list_intersect(a, b)) > 0 THEN 'auto_strong' WHEN len(a) > 0 AND len(b) > 0 THEN 'pending' WHEN (len(a) > 0 OR len(b) > 0) AND coalesce(list_contains(CASE WHEN len(a) > 0 THEN a ELSE b END, v), false) AND n % 2 = 0 THEN 'auto_strong' ELSE 'pending' END AS status FROM k""")
 def q_resource_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)).alias("w"))
+    four = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z]{4,}"), F.lit(0))
+    rows = table(spark, sf, "documents").select("doc_id", four(F.col("text")).alias("w"), four(F.concat_ws(" ", "lang", "source", F.lit("document"))).alias("other"))
     none = F.array().cast("array<string>")
-    omw = F.when(F.col("doc_id") % 4 == 0, none).otherwise(F.slice("w", 1, 2))
-    wonef = F.when(F.col("doc_id") % 3 == 0, none).otherwise(F.slice("w", 2, 3))
+    omw = F.when(F.col("doc_id") % 4 == 0, none).otherwise(F.array_distinct("w"))
+    wonef = F.when(F.col("doc_id") % 3 == 0, none).otherwise(F.col("other"))
     d = store.resource_decision(omw, wonef, T.fr_stem(F.get("w", F.lit(2))), F.size("w") % 2 == 0)
     return rows.select("doc_id", d.alias("d")).select("doc_id", "d.agreement", "d.status")
 
@@ -183,19 +184,19 @@ def q_structural_pending(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where("status = 'pending' AND source IN ('src1', 'src2', 'src3', 'src4')").join(rows.where("n_chars < 500").select("doc_id"), "doc_id", "left_anti").select("doc_id")
 
 
-@query(f"""WITH {ENTRIES_SQL} SELECT d.doc_id, CASE WHEN contains(lower(left(d.text, 12)), ' ') THEN 'mwe' ELSE 'word' END AS unit_type,
+@query(f"""WITH {ENTRIES_SQL} SELECT d.doc_id, CASE WHEN contains(d.text, ' ') THEN 'mwe' ELSE 'word' END AS unit_type,
 coalesce(e.status, 'absent') AS fr_status, CASE WHEN e.status IN ('validated', 'auto_strong', 'auto_joint') THEN e.fr ELSE '' END AS official FROM documents d LEFT JOIN entries e ON e.doc_id = d.doc_id""")
 def q_official_translation(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.when(F.contains(F.substring("text", 1, 12), F.lit(" ")), "mwe").otherwise("word").alias("unit_type"))
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.contains("text", F.lit(" ")), "mwe").otherwise("word").alias("unit_type"))
     found = entries(spark, sf).select("doc_id", "status", "fr")
     official = F.when(F.col("status").isin(*store.EXPORTABLE), F.col("fr")).otherwise("")
     return docs.join(found, "doc_id", "left").select("doc_id", "unit_type", F.coalesce("status", F.lit("absent")).alias("fr_status"), official.alias("official"))
 
 
 @query("""SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN d.doc_id IS NULL THEN 'invented' END AS problem, coalesce(d.doc_id, l.doc_id) AS doc_id
-FROM (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) d FULL JOIN (SELECT doc_id FROM labels) l ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL OR l.doc_id IS NULL""")
+FROM (SELECT vec_id AS doc_id FROM embeddings) d FULL JOIN (SELECT doc_id FROM labels) l ON d.doc_id = l.doc_id WHERE d.doc_id IS NULL OR l.doc_id IS NULL""")
 def q_missing_or_invented(spark: SparkSession, sf: str) -> DataFrame:
-    asked = table(spark, sf, "documents").where("doc_id % 2 = 0").select("doc_id")
+    asked = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"))
     answered = table(spark, sf, "labels").select("doc_id")
     missing = asked.join(answered, "doc_id", "left_anti").select(F.lit("missing").alias("problem"), "doc_id")
     return missing.unionByName(answered.join(asked, "doc_id", "left_anti").select(F.lit("invented").alias("problem"), "doc_id"))
@@ -251,12 +252,12 @@ def q_reassign(spark: SparkSession, sf: str) -> DataFrame:
     return asked.join(target, "proposed", "left").select("doc_id", outcome.alias("outcome"))
 
 
-@query(f"""WITH {ENTRIES_SQL}, dec AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'no' WHEN 2 THEN 'none' ELSE 'later' END AS decision FROM documents WHERE doc_id % 3 = 0)
+@query(f"""WITH {ENTRIES_SQL}, dec AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'no' WHEN 2 THEN 'none' ELSE 'later' END AS decision FROM documents)
 SELECT dec.doc_id, CASE WHEN e.doc_id IS NULL THEN 'error: unknown key' WHEN decision = 'later' THEN 'error: unknown decision' WHEN decision = 'ok' THEN 'validated' WHEN decision = 'no' THEN 'rejected' ELSE 'no_equivalent' END AS result
 FROM dec LEFT JOIN entries e ON e.doc_id = dec.doc_id""")
 def q_commit(spark: SparkSession, sf: str) -> DataFrame:
     names = F.array(*map(F.lit, ("ok", "no", "none", "later")))
-    asked = table(spark, sf, "documents").where("doc_id % 3 = 0").select("doc_id", F.element_at(names, (F.col("doc_id") % 4 + 1).cast("int")).alias("decision"))
+    asked = table(spark, sf, "documents").select("doc_id", F.element_at(names, (F.col("doc_id") % 4 + 1).cast("int")).alias("decision"))
     known = entries(spark, sf).select("doc_id", "status")
     result = store.first_match((F.col("status").isNull(), "error: unknown key"), (F.col("decision") == "later", "error: unknown decision"), (F.col("decision") == "ok", "validated"), (F.col("decision") == "no", "rejected"), otherwise="no_equivalent")
     return asked.join(known, "doc_id", "left").select("doc_id", result.alias("result"))

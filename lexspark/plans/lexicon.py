@@ -10,7 +10,7 @@ from lexspark.functions import scores as S
 from lexspark.functions import text as T
 from lexspark.operators import select, store
 from lexspark.operators import tokens as tok
-from lexspark.plans.corpus import doc_tokens, frequent_spans, passage_spans
+from lexspark.plans.corpus import PASSAGES_SQL, doc_tokens, frequent_spans, passage_spans
 from lexspark.plans.registry import WORDS_SQL, query, table
 
 
@@ -19,7 +19,7 @@ def type_stats(spark: SparkSession, sf: str) -> DataFrame:
     per_type = tok.types(doc_tokens(spark, sf), ["word", "lang"], "doc_id")
     langs = table(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("n_docs"))
     totals = per_type.groupBy("lang").agg(F.sum("book_count").alias("total"))
-    rows = per_type.join(F.broadcast(langs), "lang").join(F.broadcast(totals), "lang")  # a row for each language
+    rows = per_type.join(langs, "lang").join(totals, "lang")  # a row for each language; adaptive execution sees the size
     z = S.zipf(F.col("book_count"), F.col("total"))
     return rows.select("word", "lang", "book_count", "dispersion", (F.col("dispersion") / F.col("n_docs")).alias("pknown"), z.alias("zipf")).withColumn("level", S.level(F.col("zipf")))
 
@@ -195,12 +195,12 @@ k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY priority DESC, wor
 SELECT word, lang, priority, CASE WHEN rk <= 200 THEN 'full' ELSE 'fallback' END AS handling FROM k""")
 def q_top_k_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
     rows = type_stats(spark, sf).withColumn("priority", F.round(S.coarse_priority(F.col("zipf"), F.col("book_count")), 6))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("priority"), "word"))
-    return rows.withColumn("rk", rank).select("word", "lang", "priority", F.when(F.col("rk") <= 200, "full").otherwise("fallback").alias("handling"))
+    top = store.first_of_each(rows.select("lang", "word", "priority"), "lang", [F.desc("priority"), F.col("word")], 200).select("lang", "word", F.lit("full").alias("full"))
+    return rows.join(top, ["lang", "word"], "left").select("word", "lang", "priority", F.coalesce("full", F.lit("fallback")).alias("handling"))
 
 
-@query(f"""WITH {WORDS_SQL}, g AS (SELECT doc_id, word, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w AS g3, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w AS g4 FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-u AS (SELECT doc_id, g3 AS form FROM g WHERE g3 IS NOT NULL UNION ALL SELECT doc_id, g4 FROM g WHERE g4 IS NOT NULL)
+@query(f"""WITH {WORDS_SQL}, g AS (SELECT doc_id, word, word || ' ' || lead(word, 1) OVER w AS g2, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w AS g3, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w AS g4 FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+u AS (SELECT doc_id, g2 AS form FROM g WHERE g2 IS NOT NULL UNION ALL SELECT doc_id, g3 FROM g WHERE g3 IS NOT NULL UNION ALL SELECT doc_id, g4 FROM g WHERE g4 IS NOT NULL)
 SELECT form, 'mwe' AS unit_type, count(*) AS book_count, count(DISTINCT doc_id) AS dispersion FROM u GROUP BY form HAVING count(*) >= 12
 UNION ALL SELECT word, 'word', count(*), count(DISTINCT doc_id) FROM tok GROUP BY word HAVING count(*) >= 12""")
 def q_union_words_mwe(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,20 +248,21 @@ def q_top_surfaces(spark: SparkSession, sf: str) -> DataFrame:
     return counted.withColumn("rk", F.row_number().over(W.partitionBy("lemma").orderBy(F.desc("n"), "surface"))).where("rk <= 6")
 
 
-@query(f"""WITH {TYPES_SQL}, l AS (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents WHERE lang = 'en'), x AS (SELECT doc_id, unnest(regexp_extract_all(lower(line), '[a-z]+')) AS word FROM l),
+@query(f"""WITH {TYPES_SQL}, x AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word FROM documents WHERE lang = 'en'),
 j AS (SELECT x.doc_id, x.word, t.zipf FROM x LEFT JOIN types t ON t.word = x.word AND t.lang = 'en')
 SELECT doc_id, round(-min(zipf), 6) AS usage_key, bool_and(coalesce(zipf > 3.0, false)) AS attested FROM j GROUP BY doc_id""")
 def q_alternatives_by_usage(spark: SparkSession, sf: str) -> DataFrame:
-    first = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.explode(T.words(F.get(F.split("text", "\n"), F.lit(0)))).alias("word"))
+    words = table(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.explode(F.array_distinct(T.words(F.col("text")))).alias("word"))
     freq = type_stats(spark, sf).where("lang = 'en'").select("word", "zipf")
-    joined = first.join(freq, "word", "left")
+    joined = words.join(freq, "word", "left")
     return joined.groupBy("doc_id").agg(F.round(-F.min("zipf"), 6).alias("usage_key"), F.bool_and(F.coalesce(F.col("zipf") > 3.0, F.lit(False))).alias("attested"))
 
 
 @query(f"""WITH {TYPES_SQL} SELECT word, lang, round(book_count * 1e6 / sum(book_count) OVER (PARTITION BY lang), 6) AS per_million, round(zipf, 3) AS zipf, round(book_count / dispersion, 6) AS ratio FROM types""")
 def q_scale(spark: SparkSession, sf: str) -> DataFrame:
-    total = F.sum("book_count").over(W.partitionBy("lang"))
-    return type_stats(spark, sf).select("word", "lang", F.round(S.per_million(F.col("book_count"), total), 6).alias("per_million"), F.round("zipf", 3).alias("zipf"), F.round(F.col("book_count") / F.col("dispersion"), 6).alias("ratio"))
+    rows = type_stats(spark, sf)
+    totals = rows.groupBy("lang").agg(F.sum("book_count").alias("total"))
+    return rows.join(totals, "lang").select("word", "lang", F.round(S.per_million(F.col("book_count"), F.col("total")), 6).alias("per_million"), F.round("zipf", 3).alias("zipf"), F.round(F.col("book_count") / F.col("dispersion"), 6).alias("ratio"))
 
 
 @query(f"""WITH {WORDS_SQL}, b AS {words_sql('benchmark')} SELECT doc_id, count(*) AS n, count(DISTINCT word) AS n_types FROM tok t WHERE EXISTS (SELECT 1 FROM b WHERE b.word = t.word) GROUP BY doc_id""")
@@ -289,7 +290,7 @@ def q_batches(spark: SparkSession, sf: str) -> DataFrame:
     return store.batches(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", 40)
 
 
-@query()
+@query(f"""WITH {WORDS_SQL}, {PASSAGES_SQL} SELECT doc_id, '[' || string_agg('{{"start":' || start || ',"end":' || stop || ',"item_id":' || item_id || '}}', ',' ORDER BY start, stop, item_id) || ']' AS spans FROM spans GROUP BY doc_id""")
 def q_passage_case_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Spans of each document as one array; arrays have no counterpart in the value check."""
+    """Spans of each document as one array, written as JSON."""
     return passage_spans(spark, sf).groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("start", "end", "item_id")))).alias("spans"))

@@ -21,10 +21,20 @@ def centroids(spark: SparkSession, sf: str) -> DataFrame:
     return means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("c"))
 
 
+#: Most means that are held against all vectors at once.
+MAX_MEANS = 4_096
+
+
 def similarities(spark: SparkSession, sf: str) -> DataFrame:
-    """(vec_id, own, label, score): cosine of each vector to each label's mean. All means are one broadcast row, as there are few labels."""
-    c = centroids(spark, sf).agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs"))
-    rows = table(spark, sf, "embeddings").crossJoin(F.broadcast(c)).select("vec_id", F.col("label").alias("own"), "embedding", F.explode("cs").alias("k"))
+    """(vec_id, own, label, score): cosine of each vector to each label's mean. The means of a block of labels are one broadcast row, of MAX_MEANS at most."""
+    means = centroids(spark, sf)
+    blocks = -(-means.count() // MAX_MEANS)
+    rows = None
+    for k in range(max(blocks, 1)):
+        own = means if blocks <= 1 else means.where(F.pmod(F.xxhash64("label"), F.lit(blocks)) == k)
+        c = own.agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs"))
+        part = table(spark, sf, "embeddings").crossJoin(F.broadcast(c)).select("vec_id", F.col("label").alias("own"), "embedding", F.explode("cs").alias("k"))
+        rows = part if rows is None else rows.unionByName(part)
     x = F.transform("embedding", lambda v: v.cast("double"))
     norm = lambda a: F.sqrt(senses.dot(a, a))
     rows = rows.select("vec_id", "own", x.alias("x"), F.col("k.label").alias("label"), F.col("k.c").alias("c"))
@@ -82,12 +92,53 @@ def q_dominant_sense(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {WORDS_SQL}, b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word FROM benchmark),
-h AS (SELECT DISTINCT t.doc_id, b.item_id, t.word FROM (SELECT DISTINCT doc_id, word FROM tok WHERE length(word) >= 9) t JOIN b ON b.word = t.word),
+h AS (SELECT DISTINCT t.doc_id, b.item_id, t.word FROM (SELECT DISTINCT doc_id, word FROM tok) t JOIN b ON b.word = t.word),
 v AS (SELECT *, 1.0 / count(*) OVER (PARTITION BY doc_id, word) * CASE WHEN word LIKE 'th%' THEN 0.15 ELSE 1.0 END AS worth FROM h)
 SELECT doc_id, item_id AS candidate, round(max(worth), 6) AS fr_score FROM v GROUP BY doc_id, item_id""")
 def q_candidate_evidence(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("candidate"), F.explode(F.array_distinct(T.words(F.col("text")))).alias("hit_key"))
-    found = doc_tokens(spark, sf).where("length(word) >= 9").select("doc_id", F.col("word").alias("hit_key")).distinct()
+    found = doc_tokens(spark, sf).select("doc_id", F.col("word").alias("hit_key")).distinct()
+    hits = found.join(items, "hit_key").withColumn("claimed", F.col("hit_key").startswith("th"))
+    return senses.evidence(hits, ["doc_id"]).withColumn("fr_score", F.round("fr_score", 6))
+
+
+@query(f"""WITH {SIM_SQL} SELECT b.vec_id, b.best FROM best b JOIN labels l ON l.doc_id = b.vec_id
+WHERE b.best_score >= 0.25 AND l.quality = 1 AND EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = b.vec_id AND e.label = b.best)""")
+def q_confident_best(spark: SparkSession, sf: str) -> DataFrame:
+    good = nearest(spark, sf).where("best_score >= 0.25")
+    candidates = table(spark, sf, "embeddings").select("vec_id", F.col("label").alias("best"))
+    labelled = table(spark, sf, "labels").where("quality = 1").select(F.col("doc_id").alias("vec_id"))
+    return good.join(candidates, ["vec_id", "best"], "left_semi").join(labelled, "vec_id", "left_semi").select("vec_id", "best")
+
+
+@query("""WITH b AS (SELECT 'omw-en-' || lpad(CAST(item_id AS VARCHAR), 8, '0') || '-n' AS id, length(text) AS n FROM benchmark),
+e AS (SELECT 'eng-30-' || lpad(CAST(vec_id AS VARCHAR), 8, '0') || '-n' AS key, label FROM embeddings)
+SELECT b.id, e.key, e.label, b.n FROM b LEFT JOIN e ON e.key = replace(b.id, 'omw-en-', 'eng-30-')""")
+def q_dictionary_join(spark: SparkSession, sf: str) -> DataFrame:
+    eight = lambda c: F.lpad(F.col(c).cast("string"), 8, "0")
+    items = table(spark, sf, "benchmark").select(F.concat(F.lit("omw-en-"), eight("item_id"), F.lit("-n")).alias("id"), F.length("text").cast("long").alias("n"))
+    entries = table(spark, sf, "embeddings").select(F.concat(F.lit("eng-30-"), eight("vec_id"), F.lit("-n")).alias("key"), "label")
+    return items.join(entries, T.dictionary_id(F.col("id")) == F.col("key"), "left").select("id", "key", "label", "n")
+
+
+@query("""SELECT a.doc_id, a.lang, count(*) AS n_inventory, count(*) FILTER (WHERE b.source = a.source) AS n_exact, max(CASE WHEN b.doc_id = a.doc_id THEN 1 ELSE 0 END) AS has_current
+FROM documents a JOIN documents b ON a.lang = b.lang AND a.n_chars = b.n_chars GROUP BY a.doc_id, a.lang""")
+def q_inventory_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the group and of its exact part, joined back: no pairs are made."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    exact = docs.groupBy("lang", "n_chars", "source").agg(F.count("*").alias("n_exact"))
+    whole = exact.groupBy("lang", "n_chars").agg(F.sum("n_exact").alias("n_inventory"))
+    joined = docs.join(exact, ["lang", "n_chars", "source"]).join(whole, ["lang", "n_chars"])
+    return joined.select("doc_id", "lang", "n_inventory", "n_exact", F.lit(1).alias("has_current"))
+
+
+@query(f"""WITH {WORDS_SQL}, b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word FROM benchmark),
+h AS (SELECT DISTINCT t.doc_id, b.item_id, t.word FROM (SELECT DISTINCT doc_id, word FROM tok) t JOIN b ON b.word = t.word),
+v AS (SELECT *, 1.0 / count(*) OVER (PARTITION BY doc_id, word) * CASE WHEN word LIKE 'th%' THEN 0.15 ELSE 1.0 END AS worth FROM h)
+SELECT doc_id, item_id AS candidate, round(max(worth), 6) AS fr_score FROM v GROUP BY doc_id, item_id""")
+def q_candidate_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("candidate"), F.explode(F.array_distinct(T.words(F.col("text")))).alias("hit_key"))
+    found = doc_tokens(spark, sf).select("doc_id", F.col("word").alias("hit_key")).distinct()
     hits = found.join(items, "hit_key").withColumn("claimed", F.col("hit_key").startswith("th"))
     return senses.evidence(hits, ["doc_id"]).withColumn("fr_score", F.round("fr_score", 6))
 
@@ -121,33 +172,35 @@ def q_inventory_flags(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy("doc_id", "lang").agg(F.count("*").alias("n_inventory"), F.count_if(F.col("o_source") == F.col("source")).alias("n_exact"), current.alias("has_current"))
 
 
-@query(f"""WITH {WORDS_SQL}, b AS (SELECT item_id, unnest(list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z]+'), lambda x: length(x) >= 8))) AS word FROM benchmark),
-d AS (SELECT DISTINCT doc_id, word FROM tok WHERE length(word) >= 8), o AS (SELECT b.item_id, d.doc_id, count(*) AS overlap FROM b JOIN d ON b.word = d.word GROUP BY 1, 2),
+@query(f"""WITH {WORDS_SQL}, b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word FROM benchmark),
+d AS (SELECT DISTINCT doc_id, word FROM tok), o AS (SELECT b.item_id, d.doc_id, count(*) AS overlap FROM b JOIN d ON b.word = d.word GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY overlap DESC, doc_id) AS k FROM o WHERE overlap >= 2) SELECT item_id, doc_id, overlap FROM r WHERE k = 1""")
 def q_best_overlap_segment(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "benchmark").select("item_id", F.explode(F.array_distinct(F.filter(T.words(F.col("text")), lambda w: F.length(w) >= 8))).alias("word"))
-    docs = doc_tokens(spark, sf).where("length(word) >= 8").select("doc_id", "word").distinct()
+    items = table(spark, sf, "benchmark").select("item_id", F.explode(F.array_distinct(T.words(F.col("text")))).alias("word"))
+    docs = doc_tokens(spark, sf).select("doc_id", "word").distinct()
     overlap = items.join(docs, "word").groupBy("item_id", "doc_id").agg(F.count("*").alias("overlap")).where("overlap >= 2")
     best = overlap.groupBy("item_id").agg(F.min(F.struct((-F.col("overlap")).alias("n"), "doc_id")).alias("b"))
     return best.select("item_id", "b.doc_id", (-F.col("b.n")).alias("overlap"))
 
 
-@query("""WITH b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark),
-p AS (SELECT x.item_id AS a, y.item_id AS b, x.w AS xw, y.w AS yw FROM b x JOIN b y ON y.item_id > x.item_id AND y.item_id <= x.item_id + 5)
-SELECT a, b, round(len(list_intersect(xw, yw)) / len(list_distinct(list_concat(xw, yw))), 6) AS jaccard, len(list_intersect(xw, yw)) > 0 AS related FROM p""")
+@query("""WITH w AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS word FROM benchmark), n AS (SELECT item_id, count(*) AS n FROM w GROUP BY item_id),
+s AS (SELECT x.item_id AS a, y.item_id AS b, count(*) AS shared FROM w x JOIN w y ON x.word = y.word AND x.item_id < y.item_id GROUP BY 1, 2)
+SELECT a, b, shared, round(shared / (na.n + nb.n - shared), 6) AS jaccard FROM s JOIN n na ON na.item_id = a JOIN n nb ON nb.item_id = b""")
 def q_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "benchmark").select("item_id", F.array_distinct(T.words(F.col("text"))).alias("w"))
-    near = items.select(F.col("item_id").alias("a"), F.col("w").alias("xw"), F.explode(F.sequence(F.col("item_id") + 1, F.col("item_id") + 5)).alias("b"))
-    joined = near.join(items.select(F.col("item_id").alias("b"), F.col("w").alias("yw")), "b")
-    return joined.select("a", "b", F.round(T.jaccard(F.col("xw"), F.col("yw")), 6).alias("jaccard"), F.arrays_overlap("xw", "yw").alias("related"))
+    """All pairs of items with a shared word, found through the words; the similarity follows from counts."""
+    words = table(spark, sf, "benchmark").select("item_id", F.explode(F.array_distinct(T.words(F.col("text")))).alias("word"))
+    n = words.groupBy("item_id").agg(F.count("*").alias("n"))
+    other = words.select(F.col("item_id").alias("b"), "word")
+    shared = words.select(F.col("item_id").alias("a"), "word").join(other, "word").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    sized = shared.join(n.select(F.col("item_id").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("item_id").alias("b"), F.col("n").alias("nb")), "b")
+    return sized.select("a", "b", "shared", F.round(F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared")), 6).alias("jaccard"))
 
 
-@query(f"""WITH {TYPES_SQL}, r AS (SELECT t.word, t.lang, d.doc_id FROM (SELECT word, lang FROM types WHERE book_count BETWEEN 4 AND 6) t JOIN (SELECT DISTINCT doc_id, lang, word FROM tok) d ON d.word = t.word AND d.lang = t.lang),
+@query(f"""WITH {TYPES_SQL}, r AS (SELECT t.word, t.lang, d.doc_id FROM types t JOIN (SELECT DISTINCT doc_id, lang, word FROM tok) d ON d.word = t.word AND d.lang = t.lang),
 n AS (SELECT *, row_number() OVER (PARTITION BY word, lang ORDER BY doc_id) - 1 AS k, count(*) OVER (PARTITION BY word, lang) AS n FROM r)
 SELECT word, lang, string_agg(CAST(doc_id AS VARCHAR), ' || ' ORDER BY doc_id) AS examples FROM n WHERE k = 0 OR k = CAST(floor(n / 2) AS BIGINT) GROUP BY word, lang""")
 def q_occurrence_index(spark: SparkSession, sf: str) -> DataFrame:
-    rare = type_stats(spark, sf).where("book_count BETWEEN 4 AND 6").select("word", "lang")
-    seen = doc_tokens(spark, sf).select("doc_id", "lang", "word").distinct().join(rare, ["word", "lang"])
+    seen = doc_tokens(spark, sf).select("doc_id", "lang", "word").distinct()
     two = senses.diverse(seen, ["word", "lang"], ["doc_id"], 2)
     return two.groupBy("word", "lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), " || ").alias("examples"))
 
@@ -187,8 +240,8 @@ def q_text_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_ratio_opacity(spark: SparkSession, sf: str) -> DataFrame:
-    """Similarity of each benchmark item's beginning to the next one's, by matching blocks."""
-    rows = table(spark, sf, "benchmark").select("item_id", F.substring("text", 1, 60).alias("a"))
+    """Similarity of each benchmark item to the next one, by matching blocks over the whole texts."""
+    rows = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("a"))
     following = rows.select((F.col("item_id") - 1).alias("item_id"), F.col("a").alias("b"))
     return rows.join(following, "item_id").select("item_id", F.round(1 - ratio(F.col("a"), F.col("b")), 6).alias("opacity"))
 
