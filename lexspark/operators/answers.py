@@ -59,3 +59,31 @@ def vote(answers: DataFrame, stem: Column, key: str = "key", least: int = 2) ->
     counted = answers.where("answer IS NOT NULL AND trim(answer) <> ''").groupBy(key, stem.alias("stem")).agg(F.count("*").alias("n"), F.min("n_asked").alias("first"))
     best = counted.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), "first", "stem")).alias("b"))
     return best.select(key, "b.stem", (-F.col("b.n")).alias("n")).where(F.col("n") >= least)
+
+
+def reassignment_prompt(key: Column, kind: Column, lemmas: Column, pos: Column, definition: Column, inventory: Column, examples: Column) -> Column:
+    """The question whether an entry has the right sense; inventory is an array of (sense_id, pos, definition)."""
+    head = F.concat(F.lit("- "), key, F.lit(" | words: "), F.array_join(lemmas, "/"), F.lit(" | current part of speech: "), F.coalesce(pos, F.lit("mwe")), F.lit(" | definition: "), F.coalesce(definition, F.lit("?")))
+    senses = F.transform(inventory, lambda s: F.concat(F.lit("    candidate: "), s["sense_id"], F.lit(" | "), s["pos"], F.lit(" | "), s["definition"]))
+    told = F.when(kind == "mwe", F.lit("    (fixed expression: no inventory)")).otherwise(F.array_join(senses, "\n"))
+    return F.concat_ws("\n", head, told, F.array_join(F.transform(examples, lambda e: F.concat(F.lit("    seen: "), e)), "\n"))
+
+
+def arbitration_prompt(word: Column, pos: Column, context: Column, inventory: Column) -> Column:
+    """The question which sense of an inventory (sense_id, definition) a word has in its context."""
+    senses = F.array_join(F.transform(inventory, lambda s: F.concat(F.lit("- "), s["sense_id"], F.lit(": "), s["definition"])), "\n")
+    return F.concat(F.lit("Word: "), word, F.lit(" ("), pos, F.lit(")\nContext: "), context, F.lit("\nSenses:\n"), senses)
+
+
+def parsed(answers: DataFrame, ddl: str, required: tuple[str, ...]) -> DataFrame:
+    """Answers (key, answer) read as JSON of ddl; value is null where the text is no such object or a required field is missing."""
+    value = F.from_json("answer", ddl)
+    whole = F.lit(True)
+    for name in required:
+        whole = whole & value[name].isNotNull()
+    return answers.withColumn("value", F.when(whole, value))
+
+
+def total_cost(batches_: DataFrame) -> DataFrame:
+    """One row: what all batches (cost, failed) cost, and how many failed; a failed one ends nothing."""
+    return batches_.agg(F.coalesce(F.sum("cost"), F.lit(0.0)).alias("cost"), F.count_if("failed").alias("n_failed"))
