@@ -169,8 +169,10 @@ def adjudication_signals(entries: DataFrame, zipfs: DataFrame, least_zipf: float
 def collisions(store: DataFrame, decided: tuple[str, ...] = ("validated", "auto_strong", "auto_corroborated", "auto_judged")) -> DataFrame:
     """(key, collision): another decided sense of the same part of speech with a shared lemma and the same French head."""
     rows = store.where((F.col("kind") == "synset") & F.col("fr").isNotNull()).select("key", "status", sense_pos(F.col("key")).alias("pos"), head_stem(F.col("fr")).alias("head"), F.explode("lemmas_en").alias("lemma"))
-    other = rows.where(F.col("status").isin(*decided)).select(F.col("key").alias("other"), "pos", "head", "lemma")
-    return rows.join(other, ["pos", "head", "lemma"]).where("other <> key").groupBy("key").agg(F.min("other").alias("collision"))
+    taken = rows.where(F.col("status").isin(*decided) & F.col("head").isNotNull()).groupBy("pos", "head", "lemma")
+    least = taken.agg(F.min("key").alias("first"), F.max("key").alias("last"))  # an entry that is the first itself still meets the last
+    other = F.when(F.col("first") != F.col("key"), F.col("first")).when(F.col("last") != F.col("key"), F.col("last"))
+    return rows.join(least, ["pos", "head", "lemma"]).withColumn("other", other).where("other IS NOT NULL").groupBy("key").agg(F.min("other").alias("collision"))
 
 
 def sibling_senses(senses: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexspark.checkpoints import checkpointed
 from lexspark.functions.text import fr_stem
 
 #: States that no automatic step may change, and those that are exported.
@@ -88,15 +89,7 @@ def quota(rows: DataFrame, stratum: str, order: list, n: int) -> DataFrame:
 def batches(rows: DataFrame, kind: str, order: str, size: int) -> DataFrame:
     """Batch numbers within each kind, in order. Ranks are taken inside ranges of (kind, order) and then offset by the
     counts of the ranges before, so that no kind is a single task."""
-    import tempfile
-
-    spark = rows.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir names no shared folder")
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lexspark-checkpoint-"))
-    placed = rows.repartitionByRange(kind, order).withColumn("__part", F.spark_partition_id()).checkpoint()  # ranges must not change between the counts and the ranks
+    placed = checkpointed(rows.repartitionByRange(kind, order).withColumn("__part", F.spark_partition_id()))  # ranges must be those of the counts
     counts = placed.groupBy(kind, "__part").agg(F.count("*").alias("__own"))
     before = counts.withColumn("__before", F.sum("__own").over(W.partitionBy(kind).orderBy("__part")) - F.col("__own")).drop("__own")  # a row a range
     inside = F.row_number().over(W.partitionBy(kind, "__part").orderBy(order)) - 1

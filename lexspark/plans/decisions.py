@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
 from lexspark.operators import spans, store
+from lexspark.operators.maintenance import collisions
 from lexspark.plans.corpus import doc_tokens
 from lexspark.plans.lexicon import text_words, words_sql
 from lexspark.plans.registry import WORDS_SQL, query, table
@@ -69,13 +70,20 @@ SIGNALS_SQL = "(CASE WHEN n_chars > 800 THEN 1 ELSE 0 END + CASE WHEN lang = 'en
 
 #: Validated entries count as decided; here the strong ones are taken as the machine's answers still to be tested.
 OPEN_SQL = "CASE WHEN status = 'auto_strong' THEN 'auto_llm' ELSE status END"
-A_SQL = f"""{ENTRIES_SQL}, o AS (SELECT *, {SIGNALS_SQL} AS n_signals, {OPEN_SQL} AS st, n_chars % 3 <> 0 AS sound FROM entries),
-a AS (SELECT *, CASE WHEN st IN ('pending', 'auto_llm') AND n_signals >= 2 AND sound THEN 'auto_corroborated' WHEN st = 'auto_llm' AND NOT sound THEN 'pending' ELSE st END AS after_a FROM o)"""
+A_SQL = f"""{ENTRIES_SQL}, o0 AS (SELECT *, {SIGNALS_SQL} AS n_signals, {OPEN_SQL} AS st, n_chars % 3 <> 0 AS sound FROM entries),
+taken AS (SELECT lang, source, n_chars % 50 AS head, count(*) AS n FROM o0 WHERE st IN ('validated', 'auto_strong', 'auto_corroborated', 'auto_judged') AND n_chars % 50 >= 10 GROUP BY 1, 2, 3),
+o AS (SELECT o0.*, coalesce(t.n, 0) > CASE WHEN st IN ('validated', 'auto_strong', 'auto_corroborated', 'auto_judged') THEN 1 ELSE 0 END AS collides FROM o0 LEFT JOIN taken t ON t.lang = o0.lang AND t.source = o0.source AND t.head = o0.n_chars % 50),
+a AS (SELECT *, CASE WHEN st IN ('pending', 'auto_llm') AND n_signals >= 2 AND sound AND NOT collides THEN 'auto_corroborated' WHEN st = 'auto_llm' AND NOT (sound AND NOT collides) THEN 'pending' ELSE st END AS after_a FROM o)"""
 
 
 def after_a(spark: SparkSession, sf: str) -> DataFrame:
     rows = entries(spark, sf).withColumn("st", F.when(F.col("status") == "auto_strong", "auto_llm").otherwise(F.col("status"))).withColumn("n_signals", signals())
-    a = store.stage_a(F.col("n_signals"), F.col("n_chars") % 3 != 0, F.lit(False), F.col("st"), F.col("fr").isNotNull())
+    key = F.concat(F.lit("k"), F.col("doc_id").cast("string"), F.lit("."), "lang", F.lit(".01"))
+    rows = rows.withColumn("key", key)
+    word = F.concat(F.lit("w"), (F.col("n_chars") % 50).cast("string"))
+    other = collisions(rows.select("key", F.lit("synset").alias("kind"), F.col("st").alias("status"), word.alias("fr"), F.array("source").alias("lemmas_en")))
+    rows = rows.join(other, "key", "left")
+    a = store.stage_a(F.col("n_signals"), F.col("n_chars") % 3 != 0, F.col("collision").isNotNull(), F.col("st"), F.col("fr").isNotNull())
     return rows.withColumn("after_a", a)
 
 

@@ -7,7 +7,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import expand_pos
+from lexspark.functions.text import base_forms, expand_pos
 from lexspark.operators.segment import block_pairs, last_wins, lines, play_segments
 
 #: The levels that count.
@@ -35,6 +35,12 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("book"), F.col("value").alias("text"))
 
 
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(n, line): the lines of files of any size, read in splits; n orders them by file, split and place in the split."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    return spark.read.text(path).select(place.alias("n"), F.col("value").alias("line"))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines(whole_texts(spark, path), "book", "text")
 
@@ -93,8 +99,7 @@ def prevalence(spark: SparkSession, path: str, whole_counts: bool = False) -> Da
 
     whole_counts refuses counts that are written as decimals.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("n", "line"))
-    parts = raw.select("n", F.split("line", ",").alias("p")).where("size(p) >= 5")
+    parts = ordered_lines(spark, path).select("n", F.split("line", ",").alias("p")).where("size(p) >= 5")
     at = lambda k: F.trim(F.element_at("p", k))
     nobs = at(3).try_cast("int") if whole_counts else at(3).try_cast("double").cast("int")
     rows = parts.select("n", F.lower(at(1)).alias("word"), at(2).try_cast("double").alias("pknown"), nobs.alias("nobs"), at(4).try_cast("double").alias("prevalence"), at(5).try_cast("double").alias("zipf"))
@@ -120,8 +125,8 @@ def graded_variants(spark: SparkSession, path: str, sep: str = ",") -> DataFrame
 
 def ages(spark: SparkSession, path: str) -> DataFrame:
     """word, aoa; rows without a number are skipped, the last of equal words counts."""
-    rows = spark.read.csv(path, header=True).withColumn("n", F.monotonically_increasing_id())
-    clean = rows.select("n", F.lower(F.trim("Word")).alias("word"), F.col("`Rating.Mean`").try_cast("double").alias("aoa")).where("word <> '' AND aoa IS NOT NULL")
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")).alias("n")
+    clean = spark.read.csv(path, header=True).select(place, F.lower(F.trim("Word")).alias("word"), F.col("`Rating.Mean`").try_cast("double").alias("aoa")).where("word <> '' AND aoa IS NOT NULL")
     return last_wins(clean, "word", "n").drop("n")
 
 
@@ -142,13 +147,14 @@ def wordnet_literals(spark: SparkSession, path: str) -> DataFrame:
 
 def apertium(spark: SparkSession, path: str) -> DataFrame:
     """en, fr of a bilingual dictionary: blanks are written as elements, grammar elements are ignored."""
-    entries = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)<e[ >].*?</e>"), F.lit(0))).alias("e"))
+    pieces = spark.read.option("lineSep", "</e>").text(path).select(F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")).alias("n"), "value")
+    entries = pieces.select("n", F.regexp_extract("value", r"(?s)<e[ >].*$", 0).alias("e")).where("e <> ''")  # an entry a piece, so files are read in splits
 
     def side(tag: str):
         inner = F.regexp_extract("e", rf"(?s)<{tag}>(.*?)</{tag}>", 1)
         return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(inner, r"<b\s*/>", " "), r"<[^>]*>", ""), r"\s+", " "))
 
-    rows = entries.select(F.lower(side("l")).alias("en"), side("r").alias("fr"), F.monotonically_increasing_id().alias("n")).where("en <> '' AND fr <> ''")
+    rows = entries.select(F.lower(side("l")).alias("en"), side("r").alias("fr"), "n").where("en <> '' AND fr <> ''")
     first = rows.groupBy("en", "fr").agg(F.min("n").alias("n"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "fr"))), lambda x: x["fr"])
     return first.groupBy("en").agg(ordered.alias("fr"))
@@ -159,7 +165,7 @@ def dbnary(spark: SparkSession, path: str, lemmas: DataFrame | None = None) -> D
 
     lemmas (lemma) restricts the glosses before the join.
     """
-    stanzas = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\.\s*\n(?=\s*eng:|\s*$)")).alias("s")).withColumn("s", F.trim("s"))
+    stanzas = spark.read.option("lineSep", ".\n").text(path).select(F.btrim("value", F.lit(" \n\r\t")).alias("s"))  # a stanza a row, so files are read in splits
     ident = F.regexp_extract("s", r"^eng:__en_gloss_(\S+)", 1)
     glosses = stanzas.where(ident != "").select(ident.alias("gloss_id"), F.regexp_extract("s", r'rdf:value\s+"((?:[^"\\]|\\.)*)"', 1).alias("gloss_en"))
     key = r"^(\d+)_(.+)__([A-Za-z_]+?)__(\d+)$"
@@ -179,6 +185,27 @@ def sense_keys(spark: SparkSession, path: str) -> DataFrame:
     return parts.select(F.get("p", F.lit(0)).alias("lemma"), F.get("p", F.lit(1)).alias("instance"), F.get("p", F.lit(2)).alias("sense_key"), "file")
 
 
+def word_keys(spark: SparkSession, folder: str, word: str) -> DataFrame:
+    """The sense keys of a word's own files: those named exactly WORD.key in the folder's parts of speech; a longer name is another word's."""
+    name = f"{word.strip().lower().replace(' ', '_')}.key"
+    own = F.lower(F.element_at(F.split("file", "/"), -1)) == name
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.key")
+    parts = reader.text(folder).select(F.split(F.trim("value"), r"\s+").alias("p"), F.col("_metadata.file_path").alias("file")).where(own & (F.size("p") >= 3))
+    return parts.select(F.get("p", F.lit(0)).alias("lemma"), F.get("p", F.lit(1)).alias("instance"), F.get("p", F.lit(2)).alias("sense_key"), "file")
+
+
+def sense_counts(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """(sense_id, n): occurrences of each sense by an index (sense_key, sense_id); keys that it lacks are counted under null."""
+    counted = keys.groupBy("sense_key").agg(F.count("*").alias("k"))
+    return counted.join(index, "sense_key", "left").groupBy("sense_id").agg(F.sum("k").alias("n"))
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, first, message) of transcripts with elements that can't be read."""
+    rows = spark.read.format("xml").option("rowTag", "u").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").schema("_n string, bad string").load(path)
+    return rows.where("bad IS NOT NULL").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("_n").alias("first"), F.concat(F.count("*").cast("string"), F.lit(" unreadable elements")).alias("message"))
+
+
 def spoken_words(spark: SparkSession, path: str) -> DataFrame:
     """file, utterance, who, pos_in, surface, lemma, pos, class, usas of transcript XML; words without text are dropped."""
     word = "struct<_VALUE: string, _lemma: string, _pos: string, _class: string, _usas: string>"
@@ -194,6 +221,12 @@ def synsets(senses: DataFrame, words: DataFrame) -> DataFrame:
     return senses.join(wanted, ["lemma", "pos"]).orderBy("lemma", "pos", "sense_id")
 
 
+def open_inventory(senses: DataFrame, word: str) -> DataFrame:
+    """All senses of a word or of its base forms, of every part of speech, by part of speech and id."""
+    forms = F.transform(base_forms(F.lit(word.strip().lower().replace(" ", "_"))), F.lower)
+    return senses.where(F.array_contains(forms, F.lower(F.replace("lemma", F.lit(" "), F.lit("_"))))).dropDuplicates(["sense_id"]).orderBy("pos", "sense_id")
+
+
 # ---- own files
 
 
@@ -209,7 +242,7 @@ def strict_jsonl(spark: SparkSession, path: str, schema: str, key: str | None =
         return spark.read.schema(schema).json(path, mode="FAILFAST")
     from pyspark.sql.types import StructType
 
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("__n", "line")).where("trim(line) <> ''")
+    raw = ordered_lines(spark, path).withColumnRenamed("n", "__n").where("trim(line) <> ''")
     rows = raw.select("__n", F.from_json("line", StructType.fromDDL(schema), {"mode": "FAILFAST"}).alias("r")).select("__n", "r.*")
     return last_wins(rows, key, "__n").drop("__n")
 

@@ -93,12 +93,46 @@ def test_own_files(spark, tmp_path):
     assert rows(R.synsets(senses, spark.createDataFrame([("big", "a")], "word string, pos string")).select("sense_id")) == [("b.a.01",), ("b.s.01",)]
 
 
+def test_files_in_splits(spark, tmp_path):
+    """Large files are read in splits, and the last of equal keys still counts."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        path = write(tmp_path, "p.csv", "".join(f"w{k % 50},0.5,{k},0.1,3\n" for k in range(1000)))
+        assert spark.read.text(path).rdd.getNumPartitions() > 3
+        assert {r.word: r.nobs for r in R.prevalence(spark, path).collect()} == {f"w{k}": 950 + k for k in range(50)}
+        path = write(tmp_path, "s.jsonl", "".join('{"key": "k%d", "v": %d}\n' % (k % 7, k) for k in range(700)))
+        assert {r.key: r.v for r in R.strict_jsonl(spark, path, "key string, v int", "key").collect()} == {f"k{k}": 693 + k for k in range(7)}
+        path = write(tmp_path, "d.dix", "<d><section>" + "".join(f'<e><p><l>w{k % 9}</l><r>m{k}</r></p></e>\n' for k in range(300)) + "</section></d>")
+        assert {r.en: r.fr for r in R.apertium(spark, path).collect()} == {f"w{j}": [f"m{k}" for k in range(j, 300, 9)] for j in range(9)}
+        ttl = "@prefix eng: <x> .\n" + "".join(f'eng:__en_gloss_{k}_cat_fish__Noun__1 a dbnary:Gloss ;\n  rdf:value "a. b {k}" .\n' for k in range(100)) + "".join(f'eng:__tr_fra_{k} dbnary:gloss eng:__en_gloss_{k}_cat_fish__Noun__1 ;\n  dbnary:writtenForm "poisson {k}"@fr .\n' for k in range(100))
+        got = R.dbnary(spark, write(tmp_path, "d.ttl", ttl)).collect()
+        assert {(r.gloss_id.split("_")[0], r.gloss_en, r.fr[0], r.lemma) for r in got} == {(str(k), f"a. b {k}", f"poisson {k}", "cat fish") for k in range(100)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_word_keys_and_inventories(spark, tmp_path):
+    for name in ("v/take.key", "v/take_off.key", "n/take.key"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"{name.split('/')[1][:-4]} i1 take%2:1:1\nshort line\ntake i2 take%2:1:2\n")
+    found = R.word_keys(spark, str(tmp_path), "Take")
+    assert found.count() == 4 and R.word_keys(spark, str(tmp_path), "take off").count() == 2
+    index = spark.createDataFrame([("take%2:1:1", "take.v.01")], "sense_key string, sense_id string")
+    assert rows(R.sense_counts(found, index), "sense_id") == [(None, 2), ("take.v.01", 2)]
+    senses = spark.createDataFrame([("cat.n.01", "cat", "n"), ("cat.n.01", "Cats", "n"), ("cat.v.01", "cat", "v"), ("dog.n.01", "dog", "n")], "sense_id string, lemma string, pos string")
+    assert rows(R.open_inventory(senses, "cats").select("sense_id")) == [("cat.n.01",), ("cat.v.01",)]
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "bad.xml").write_text('<x><u n="1"><w>a</w></u><u n="2"><w>b</v></u></x>')
+    assert len(R.unreadable_files(spark, str(tmp_path / "t")).collect()) == 1
+
+
 def test_sinks(spark, tmp_path):
     units = spark.createDataFrame([("b", ["x", "y"], 0.12345, True), ("a", ["z"], 0.5, False)], "canonical_form string, surface_forms array<string>, score_default double, needs_review boolean")
     S.write_csv(units, str(tmp_path / "u"))
     written = spark.read.csv(str(tmp_path / "u"), header=True)
     assert tuple(written.columns) == S.EXPORT and written.where("sense_id IS NOT NULL").count() == 0
-    assert rows(written.select("canonical_form", "surface_forms", "score_reuse", "needs_review"), "canonical_form") == [("a", "z", "0.5", "false"), ("b", "x/y", "0.123", "true")]
+    assert rows(written.select("canonical_form", "surface_forms", "score_default", "needs_review"), "canonical_form") == [("a", "z", "0.5", "false"), ("b", "x/y", "0.123", "true")]
     assert S.review_queue(units).first().score_default == 0.12345
     S.write_jsonl(units, str(tmp_path / "j"))
     S.append_jsonl(units, str(tmp_path / "j"))
