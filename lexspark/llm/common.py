@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,9 +12,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 import lexspark
+from lexspark.checkpoints import checkpointed
 
 cloudpickle.register_pickle_by_value(lexspark)  # kernels travel with their tasks; executors need no copy of this library
 
+__all__ = ["arrow_fields", "checkpointed", "fresh_name", "slices", "struct_kernel", "table"]
+
 #: Bytes of text that a kernel turns into Python objects at a time.
 SLICE_BYTES = 4 << 20
 
@@ -25,18 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the cluster's shared checkpoint folder (survives lost executors)."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise RuntimeError("spark.checkpoint.dir names no shared folder; a temporary folder would be another one on each machine")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lexspark-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def arrow_fields(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 

@@ -42,6 +42,7 @@ FREE_BYTES = (
     (0, 1, 2), (0, 3, 4), (0, 5, 6), (0, 1, 7), (1, 3, 5), (1, 4, 6),
     (2, 3, 6), (2, 4, 5), (2, 3, 7), (4, 5, 7), (3, 6, 7),
 )
+HOT_SHARE = 0.001
 #: Lists up to this long are compared pair by pair; longer ones are split by a sixth byte.
 PAIRWISE = 256
 
@@ -173,20 +174,26 @@ def index_links(fps: DataFrame) -> DataFrame:
     return lists.select(F.explode(links).alias("l")).select("l.u", "l.v")
 
 
-def _components(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of rows (id, fp): entries (fp, least), and named (fp, root, component_id) with a row for each fingerprint."""
-    entries = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least")))
+def _with_components(rows: DataFrame) -> DataFrame:
+    """Rows (id, fp, ...) with the root and the component_id of their fingerprint.
+
+    Fingerprints of more than a HOT_SHARE of all rows, 1 / HOT_SHARE at most, are broadcast, so their rows needn't meet in a task.
+    """
+    entries = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")))
     roots = connected_components(index_links(entries.select("fp")))
-    group = checkpointed(entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    group = checkpointed(entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")))
     smallest = group.groupBy("root").agg(F.min("least").alias("component_id"))
-    return entries, checkpointed(group.join(smallest, "root").select("fp", "root", "component_id"))
+    named = checkpointed(group.join(smallest, "root").select("fp", "root", "component_id", "n"))
+    total = entries.agg(F.sum("n")).first()[0] or 0
+    hot = named.where(F.col("n") > max(1, int(HOT_SHARE * total))).drop("n")
+    loose = rows.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(named.drop("n"), "fp")
+    return loose.unionByName(rows.join(F.broadcast(hot), "fp"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) for each row of docs."""
     rows = checkpointed(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col)).alias("fp")))
-    _, named = _components(rows)
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _with_components(rows).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,9 +205,8 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).isNull().alias("n"))
     rows = checkpointed(docs.select(key.alias("key"), F.col(id_col).alias("id"), fingerprint_column(F.col(text_col)).alias("fp")))
-    _, named = _components(rows.select("id", "fp"))
     first = F.min(F.struct(F.col("id").isNull(), "key"))
-    chosen = rows.join(named, "fp").groupBy("root").agg(first.alias("first")).select(F.col("first.key").alias("key"))
+    chosen = _with_components(rows).groupBy("root").agg(first.alias("first")).select(F.col("first.key").alias("key"))
     own, once = fresh_name(docs, "__key"), fresh_name(docs, "__once")
     kept = docs.select("*", key.alias(own)).join(chosen.select(F.col("key").alias(own)), own, "left_semi")
     number = F.row_number().over(W.partitionBy(own).orderBy(F.lit(0)))

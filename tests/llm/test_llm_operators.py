@@ -452,6 +452,65 @@ def test_quality_trees(spark, odd, empty):
     assert quality_gbdt.quality_classifier(empty, labels).count() == 0
 
 
+def brute_statistics(text):
+    """Each statistic from its description."""
+    import zstandard
+
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * len(quality_gbdt.NAMES)
+    words, n_bytes = raw.split(), len(raw)
+    n = max(len(words), 1)
+    share = lambda chars: sum(bytes([b]) in [bytes([c]) for c in chars] for b in raw) / n_bytes
+    tally, counts = collections.Counter(words), collections.Counter(raw)
+    lines = raw.count(b"\n") + 1
+    lengths = [len(w) for w in words] or [0]
+    mean = lambda own: sum(own) / len(own)
+    _, _, _, dup, inside, _ = brute_quality(text)
+    return [
+        math.log(1 + n_bytes), math.log(1 + len(words)), mean(lengths), mean([x > 15 for x in lengths]), mean([x < 3 for x in lengths]),
+        *map(share, (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\r", b".,;:!?'\"()-", b"#*$%&|<>=+/\\_~^@[]{}`", bytes(range(128, 256)))),
+        lines / n, n_bytes / lines, dup / lines, len(tally) / n, max(tally.values(), default=0) / n, inside / n,
+        sum(v for w, v in tally.items() if w[-1:] in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">", b"!", b"=")) / n, sum(v for w, v in tally.items() if len(w) > 1 and w.isupper()) / n,
+        len(zstandard.compress(raw, 1)) / n_bytes, -sum(c / n_bytes * math.log2(c / n_bytes) for c in counts.values()), raw.count(b".") / n, raw.count(b"|") / n,
+    ]
+
+
+def test_statistics_equal_their_descriptions(docs):
+    import numpy as np
+
+    texts = [t for _, t in ODD if t is None or len(t) < 5_000] + list(docs.values())[:15] + ["A | B! #x\nA | B! #x\n" * 4]
+    got = quality_gbdt.statistics_kernel()(texts)
+    for row, text in zip(got, texts, strict=True):
+        assert np.allclose(row, brute_statistics(text)), text
+
+
+def test_first_split_is_the_best():
+    """The root's split against every cut of every column."""
+    import numpy as np
+
+    from lexspark.llm.trees import fit
+
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 30, size=(200, 3)).astype(float)
+    y = ((x[:, 1] > 11) ^ (rng.random(200) < 0.2)).astype(float)
+    forest = fit(x, y, trees=1, depth=1, bins=400, ridge=2.0, min_rows=8, rate=0.15)
+    p = y.mean()
+    best = (-1.0, None, None)
+    for j in range(3):
+        for cut in np.unique(np.quantile(x[:, j], np.linspace(0, 1, 401)[1:-1])):
+            low = x[:, j] <= cut
+            if min(low.sum(), (~low).sum()) >= 8:
+                gain = sum((p - y[s]).sum() ** 2 / (p * (1 - p) * s.sum() + 2.0) for s in (low, ~low))
+                if gain > best[0] + 1e-12:
+                    best = (gain, j, low)
+    root = forest.roots[0]
+    low = x[:, forest.feature[root]] <= forest.threshold[root]
+    assert forest.feature[root] == best[1] and (low == best[2]).all()
+    for node, side in ((forest.left[root], low), (forest.right[root], ~low)):
+        assert math.isclose(forest.value[node], -0.15 * (p - y[side]).sum() / (p * (1 - p) * side.sum() + 2.0))
+
+
 def test_flattened_trees_equal_recursion():
     import numpy as np
 
