@@ -4,7 +4,7 @@ The trees are fitted on the driver from at most MAX_TRAIN_ROWS labelled document
 hashes of their ids among the rows that may be learned from; only their statistics are gathered. Scoring
 covers all documents, in batches.
 
-Null texts count as empty; both get the score that their statistics (all zero) lead to. A doc_id with
+Very long texts are read whole. Null texts count as empty; both get the score that their statistics (all zero) lead to. A doc_id with
 several labels counts once, with the largest; labels that are null are left out. Without labels, or with
 labels of one kind, every score is that kind's share, held within 0.001 and 0.999. Repeated documents are
 scored row by row, an empty table gives an empty table, further columns are ignored.

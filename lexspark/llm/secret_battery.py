@@ -2,8 +2,9 @@
 
 The patterns give the base spans. Beside them, every long word whose characters fit an encoding (hex,
 base32, base36, base62, base64) is tested for what a random string of that encoding would show: chi-squared
-tests of its alphabet's uniformity, over kinds of characters and, for long words, over places in the alphabet, a
-runs test about the alphabet's middle and a test of serial correlation. The least of the p-values, times the
+tests of its alphabet's uniformity, over kinds of characters and, for long words, over places in the alphabet,
+runs tests about the alphabet's middle and over capitals, small letters, digits and signs (names keep to one for
+long), and a test of serial correlation. The least of the p-values, times the
 number of tests, is the word's p-value.
 
 Words that a Benjamini-Hochberg step rejects as random are no secrets. The step is taken within each
@@ -43,6 +44,8 @@ ALPHABETS = {
     62: "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+#: Letters that are frequent, and that are rare, in words of European languages.
+FREQUENT, RARE = "etaoinsr", "ywvkxjqz"
 MIN_BITS = 80.0
 FDR = 0.05
 #: Places in the alphabet are tested from this length on; eight bins, as many as a character's mark allows for.
@@ -93,10 +96,10 @@ def encoding(word: Column) -> Column:
 
 
 def kind_marks(size: int) -> str:
-    """A mark for each character of an alphabet: fours of hex digits; else vowels, capitals, small letters, others."""
+    """A mark for each character of an alphabet: fours of hex digits; else letters that are frequent, middling or rare in words, and others."""
     if size == 16:
         return "".join(str(k // 4) for k in range(16))
-    return "".join("0" if c in "aeiouAEIOU" else "1" if c.isupper() else "2" if c.islower() else "3" for c in ALPHABETS[size])
+    return "".join("3" if not c.isalpha() else "0" if c.lower() in FREQUENT else "2" if c.lower() in RARE else "1" for c in ALPHABETS[size])
 
 
 def place_marks(size: int) -> str:
@@ -104,6 +107,11 @@ def place_marks(size: int) -> str:
     return "".join(str(k * PLACE_BINS // size) for k in range(size))
 
 
+def class_marks(size: int) -> str:
+    """Capitals, small letters, digits and signs."""
+    return "".join("0" if c.isupper() else "1" if c.islower() else "2" if c.isdigit() else "3" for c in ALPHABETS[size])
+
+
 def half_marks(size: int) -> str:
     return "".join("1" if 2 * k >= size else "0" for k in range(size))
 
@@ -154,6 +162,22 @@ def runs_test(word: Column, size: int) -> Column:
     return let(F.translate(word, ALPHABETS[size], half_marks(size)), test)
 
 
+def class_runs_test(word: Column, size: int) -> Column:
+    """Of runs of one class of characters: their number's mean and variance are those of a uniform random word."""
+    marks = class_marks(size)
+    shares = [marks.count(m) / size for m in sorted(set(marks))]
+    change = 1 - sum(p * p for p in shares)
+    twice = sum(p * (1 - p) ** 2 for p in shares)
+
+    def test(marked: Column) -> Column:
+        n = F.length(marked).cast("double")
+        runs = F.length(F.regexp_replace(marked, r"(.)\1+", "$1")).cast("double")
+        var = (n - 1) * change * (1 - change) + 2 * (n - 2) * (twice - change * change)
+        return _two_sided((runs - 1 - (n - 1) * change) / F.sqrt(var))
+
+    return let(F.translate(word, ALPHABETS[size], marks), test)
+
+
 def serial_test(word: Column, size: int) -> Column:
     """Of the correlation of neighbours' places in the alphabet; one fold carries all sums."""
     codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: (F.instr(F.lit(ALPHABETS[size]), c) - 1).cast("double"))
@@ -180,7 +204,7 @@ def serial_test(word: Column, size: int) -> Column:
 
 def battery(word: Column, size: int) -> Column:
     """The p-value of a word as a random string of the alphabet of that size."""
-    always = [chi_squared(word, kind_marks(size), size), runs_test(word, size), serial_test(word, size)]
+    always = [chi_squared(word, kind_marks(size), size), runs_test(word, size), class_runs_test(word, size), serial_test(word, size)]
     longer = [*always, chi_squared(word, place_marks(size), size)]
     least = lambda tests: F.least(F.lit(1.0), len(tests) * F.least(*tests))
     return F.when(F.length(word) < LONG, least(always)).otherwise(least(longer))

@@ -178,6 +178,31 @@ def test_url_rules(spark, sf):
         url_rules.url_verdicts(table, patterns=(url_rules.PatternRule("x", "x", ()),))
 
 
+def test_many_pattern_rules_fetch_the_same_verdicts(spark, sf):
+    """Thousands of rules by their rarest tokens, in blocks, against trying every rule."""
+    import random
+
+    rng = random.Random(6)
+    real = list(pq.read_table(f"{sf}/pages.parquet", columns=["url"]).column(0).to_pylist())
+    tokens = sorted({t for u in real if u for t in re.findall("[a-z0-9]+", u.lower())})
+    rules = []
+    for k in range(2_000):
+        own = rng.sample(tokens, 2)
+        rules.append(url_rules.PatternRule(f"r{k:04d}", rng.choice([f"{own[0]}.*{own[1]}", f"{own[0]}[./-]{own[1]}"]), tuple(own)))
+    table = spark.createDataFrame(list(enumerate(real)), "page_id long, url string")
+    before = url_rules.MAX_RULES
+    url_rules.MAX_RULES = 700
+    try:
+        got = rows_of(url_rules.url_verdicts(table, patterns=tuple(rules), hosts=()), "page_id")
+    finally:
+        url_rules.MAX_RULES = before
+    compiled = [(r.name, re.compile(r.pattern)) for r in rules]
+    for r, u in zip(got, real, strict=True):
+        fits = [n for n, p in compiled if "://" in (u or "") and p.search(u.lower())]
+        assert (r["pattern"], r["verdict"]) == (min(fits, default=None), "block" if fits else "allow"), u
+    assert sum(r["candidates"] for r in got) < 0.2 * len(rules) * len(real) and any(r["pattern"] for r in got)
+
+
 # ---- 3
 
 
@@ -686,7 +711,7 @@ def brute_battery(word, size):
 
     def kind(k):
         c = alphabet[k]
-        return k // 4 if size == 16 else "vowel" if c in "aeiouAEIOU" else "up" if c.isupper() else "low" if c.islower() else "other"
+        return k // 4 if size == 16 else "often" if c.lower() in "etaoinsr" else "rare" if c.lower() in "jkqvwxyz" else "letter" if c.isalpha() else "other"
 
     high = [2 * k >= size for k in codes]
     above = sum(high)
@@ -694,6 +719,12 @@ def brute_battery(word, size):
     var = (middle - 1) * (middle - 2) / (n - 1)
     runs = 1 + sum(a != b for a, b in itertools.pairwise(high))
     tests = [chi(kind), 2 * upper(abs((runs - middle) / var**0.5)) if var > 0 else 0.0]
+    cls = lambda c: "up" if c.isupper() else "low" if c.islower() else "digit" if c.isdigit() else "sign"
+    shares = [m / size for m in collections.Counter(map(cls, alphabet)).values()]
+    q = 1 - sum(p * p for p in shares)
+    spread = (n - 1) * q * (1 - q) + 2 * (n - 2) * (sum(p * (1 - p) ** 2 for p in shares) - q * q)
+    changes = sum(cls(a) != cls(b) for a, b in itertools.pairwise(word))
+    tests.append(2 * upper(abs((changes - (n - 1) * q) / spread**0.5)))
     mean = sum(codes) / n
     around = sum((k - mean) ** 2 for k in codes)
     tests.append(2 * upper(abs((sum((a - mean) * (b - mean) for a, b in itertools.pairwise(codes)) / around + 1 / n) * n**0.5)) if around else 0.0)
