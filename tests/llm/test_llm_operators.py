@@ -188,7 +188,8 @@ def test_many_pattern_rules_fetch_the_same_verdicts(spark, sf):
     rules = []
     for k in range(2_000):
         own = rng.sample(tokens, 2)
-        rules.append(url_rules.PatternRule(f"r{k:04d}", rng.choice([f"{own[0]}.*{own[1]}", f"{own[0]}[./-]{own[1]}"]), tuple(own)))
+        a, b = (f"(?<![a-z0-9]){t}(?![a-z0-9])" for t in own)  # a rule's tokens stand whole in each url that it matches
+        rules.append(url_rules.PatternRule(f"r{k:04d}", rng.choice([f"{a}.*{b}", f"{a}[./-]{b}"]), tuple(own)))
     table = spark.createDataFrame(list(enumerate(real)), "page_id long, url string")
     before = url_rules.MAX_RULES
     url_rules.MAX_RULES = 700
