@@ -51,6 +51,34 @@ def test_query(spark, sf, duck, name):
         assert all(x == y or isinstance(x, float) and isinstance(y, (int, float)) and math.isclose(x, y, abs_tol=2e-5) for x, y in zip(a, b, strict=True)), (a, b)
 
 
+def test_queries_without_sql(spark, sf, duck):
+    """Row by row over the driver's tables, where DuckDB has no counterpart."""
+    import difflib
+    import re
+    from collections import defaultdict
+
+    from lexspark.functions.french import stem
+
+    items = dict(duck.execute("select item_id, text from benchmark").fetchall())
+    got = {r.item_id: r.opacity for r in QUERIES["q_ratio_opacity"](spark, sf).collect()}
+    assert got == {i: round(1 - difflib.SequenceMatcher(None, items[i], items[i + 1]).ratio(), 6) for i in items if i + 1 in items}
+
+    docs = dict(duck.execute("select doc_id, text from documents").fetchall())
+    places = defaultdict(list)
+    for r in QUERIES["q_token_offsets"](spark, sf).collect():
+        places[r.doc_id].append((r.pos, r.surface, r.start, r.end))
+    for i, text in docs.items():
+        found = sorted(places[i])
+        assert [(s, a, b) for _, s, a, b in found] == [(m.group(), *m.span()) for m in re.finditer(r"\w+(?:[’'-]\w+)*|[^\w\s]", text or "")]
+        assert all(text[a:b] == s for _, s, a, b in found)
+
+    words = {w for (t,) in duck.execute("select text from documents where lang = 'fr'").fetchall() for w in re.findall("[a-zà-ÿ]+", (t or "").lower())}
+    by_stem = defaultdict(list)
+    for w in words:
+        by_stem[stem(w)].append(w)
+    assert {r.stem: (r.n, r.first_word) for r in QUERIES["q_french_stem"](spark, sf).collect()} == {k: (len(v), min(v)) for k, v in by_stem.items()}
+
+
 def test_entry(spark):
     assert 0 < __spark_entry__.entry(spark).count() <= 50
 
