@@ -130,3 +130,9 @@ def expression_occurrences(units: DataFrame, spans: DataFrame, contexts: DataFra
     asked = units.select("canonical_form", F.concat_ws(":", F.lit("mwe"), "canonical_form", "label").alias("key"), F.explode("segments").alias("segment"))
     joined = asked.join(last.withColumnRenamed("idiom", "canonical_form"), ["canonical_form", "segment"], "left").join(contexts.where("context <> ''"), "segment")
     return joined.select("key", "segment", "context", F.coalesce("surface", "canonical_form").alias("target_surface"))
+
+
+def first_target(tokens: Column, word: Column) -> Column:
+    """The place from 0 of the first token that is the word, whatever its case; null if none is."""
+    at = F.array_position(F.transform(tokens, F.lower), F.lower(word))
+    return F.when(at > 0, at - 1)

@@ -147,12 +147,12 @@ def q_neighbour_semi(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "nation").join(near, "n_nationkey", "left_semi").select("n_nationkey", "n_name")
 
 
-@query("""WITH c AS (SELECT doc_id, 'k' || (doc_id + 1) AS new_key, CASE WHEN doc_id % 20 = 0 THEN 'v' END AS new_pos FROM documents WHERE doc_id % 10 = 0)
+@query("""WITH c AS (SELECT doc_id, 'k' || (doc_id + 1) AS new_key, CASE WHEN lang = 'fr' THEN 'v' END AS new_pos FROM documents WHERE source = 'src1')
 SELECT d.doc_id, coalesce(c.new_key, 'k' || d.doc_id) AS key, CASE WHEN c.doc_id IS NOT NULL THEN coalesce(c.new_pos, 'none') ELSE d.lang END AS pos, c.doc_id IS NOT NULL AS corrected FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id""")
 def q_manual_correction(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     key = lambda c: F.concat(F.lit("k"), c.cast("string"))
-    fixes = docs.where("doc_id % 10 = 0").select("doc_id", key(F.col("doc_id") + 1).alias("new_key"), F.when(F.col("doc_id") % 20 == 0, "v").alias("new_pos"))
+    fixes = docs.where("source = 'src1'").select("doc_id", key(F.col("doc_id") + 1).alias("new_key"), F.when(F.col("lang") == "fr", "v").alias("new_pos"))
     hit = F.col("new_key").isNotNull()
     pos = F.when(hit, F.coalesce("new_pos", F.lit("none"))).otherwise(F.col("lang"))
     return docs.join(fixes, "doc_id", "left").select("doc_id", F.coalesce("new_key", key(F.col("doc_id"))).alias("key"), pos.alias("pos"), hit.alias("corrected"))

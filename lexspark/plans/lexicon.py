@@ -35,22 +35,21 @@ NEED_SQL = "greatest(0, least(1, (6 - zipf) / 4))"
 GAIN_SQL = "greatest(0, least(1, ln(1 + book_count) / ln(21)))"
 
 
-@query(f"""WITH {TYPES_SQL} SELECT word, lang, CASE WHEN book_count >= 50 AND pknown < 0.20 THEN 'pknown' WHEN length(word) > 14 THEN 'named_entity' WHEN level IN ('A1', 'A2') THEN 'cefr' END AS drop_reason
-FROM types WHERE book_count >= 3""")
+@query(f"""WITH {TYPES_SQL} SELECT word, lang, CASE WHEN book_count >= 50 AND pknown < 0.20 THEN 'pknown' WHEN length(word) > 14 THEN 'named_entity' WHEN level IN ('A1', 'A2') THEN 'cefr' END AS drop_reason FROM types""")
 def q_prevalence_gate(spark: SparkSession, sf: str) -> DataFrame:
-    rows = type_stats(spark, sf).where("book_count >= 3")
+    rows = type_stats(spark, sf)
     reason = select.drop_reason(F.col("pknown"), F.col("book_count"), F.length("word") > 14, F.array("level"), known_below=0.20)
     return rows.select("word", "lang", reason.alias("drop_reason"))
 
 
 @query(f"""WITH {TYPES_SQL}, exact AS (SELECT word, lang, level FROM types WHERE book_count >= 20),
 anyl AS (SELECT word, string_agg(level, '/' ORDER BY level) AS levels FROM (SELECT DISTINCT word, level FROM types WHERE book_count >= 5) GROUP BY word)
-SELECT t.word, t.lang, coalesce(e.level, a.levels, '?') AS levels FROM types t LEFT JOIN exact e ON t.word = e.word AND t.lang = e.lang LEFT JOIN anyl a ON t.word = a.word WHERE t.book_count >= 2""")
+SELECT t.word, t.lang, coalesce(e.level, a.levels, '?') AS levels FROM types t LEFT JOIN exact e ON t.word = e.word AND t.lang = e.lang LEFT JOIN anyl a ON t.word = a.word""")
 def q_cefr_fallback(spark: SparkSession, sf: str) -> DataFrame:
     types = type_stats(spark, sf)
     exact = types.where("book_count >= 20").select("word", "lang", F.col("level").alias("levels"))
     by_word = types.where("book_count >= 5").groupBy("word").agg(F.array_join(F.array_sort(F.collect_set("level")), "/").alias("levels"))
-    found = select.with_fallback(types.where("book_count >= 2").select("word", "lang"), exact, by_word, "word", "lang", "levels")
+    found = select.with_fallback(types.select("word", "lang"), exact, by_word, "word", "lang", "levels")
     return found.withColumn("levels", F.coalesce("levels", F.lit("?")))
 
 
@@ -277,11 +276,11 @@ def q_limit_on_order(spark: SparkSession, sf: str) -> DataFrame:
     return units(spark, sf).select("word", "book_count", F.round("score_default", 9).alias("s")).orderBy(F.desc("s"), F.desc("book_count"), "word").limit(100).select("word", "book_count")
 
 
-@query("""SELECT doc_id, sha256('{"model":"m1","prompt":"' || CAST(doc_id AS VARCHAR) || ':' || lang || '"}') AS key, doc_id % 3 = 0 AS hit FROM documents""")
+@query("""SELECT doc_id, sha256('{"model":"m1","prompt":"' || CAST(doc_id AS VARCHAR) || ':' || lang || '"}') AS key, lang = 'en' AS hit FROM documents""")
 def q_cache_key(spark: SparkSession, sf: str) -> DataFrame:
     prompt = F.concat_ws(":", F.col("doc_id").cast("string"), "lang")
-    keyed = table(spark, sf, "documents").select("doc_id", F.sha2(F.to_json(F.struct(F.lit("m1").alias("model"), prompt.alias("prompt"))), 256).alias("key"))
-    cache = keyed.where("doc_id % 3 = 0").select("key", F.lit(True).alias("c"))
+    keyed = table(spark, sf, "documents").select("doc_id", "lang", F.sha2(F.to_json(F.struct(F.lit("m1").alias("model"), prompt.alias("prompt"))), 256).alias("key"))
+    cache = keyed.where("lang = 'en'").select("key", F.lit(True).alias("c"))
     return keyed.join(cache, "key", "left").select("doc_id", "key", F.coalesce("c", F.lit(False)).alias("hit"))
 
 

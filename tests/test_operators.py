@@ -257,3 +257,9 @@ def test_alignment_quality(spark):
     rows = [("the dog", "le chien")] * 3 + [("le chat est", "the cat"), ("a", ""), ("word", "x" * 40), ("", "vide")]
     r = segment.alignment_quality(spark.createDataFrame(rows, "en string, fr string")).first()
     assert (r.n, r.n_empty, r.n_duplicate, r.n_swapped, r.n_odd, r.passes) == (7, 1, 2, 1, 1, False)
+
+
+def test_targets_and_snippets(spark):
+    assert one(spark, senses.first_target(F.col("t"), F.lit("DOG")), t=["a", "Dog", "dog"]) == 1
+    assert one(spark, senses.first_target(F.col("t"), F.lit("x")), t=["a"]) is None
+    assert one(spark, T.snippet(F.col("c"), F.lit(5), F.lit(8), 3), c="one  two\n three") == "e two t"
