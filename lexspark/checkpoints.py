@@ -1,20 +1,24 @@
-"""Cutting lineage in the cluster's shared folder."""
+"""Cutting lineage, and keeping files, in the cluster's shared folder."""
 
 from __future__ import annotations
 
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; on a single machine without that setting a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir names no shared folder; a temporary folder would be another one on each machine")
+    return shared or tempfile.mkdtemp(prefix="lexspark-")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the cluster's shared checkpoint folder (survives lost executors)."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise RuntimeError("spark.checkpoint.dir names no shared folder; a temporary folder would be another one on each machine")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lexspark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexspark.checkpoints import shared_folder
 from lexspark.functions import text as T
 from lexspark.plans.lexicon import UNITS_SQL, text_words, units, words_sql
 from lexspark.plans.registry import query, table
@@ -15,11 +15,8 @@ from lexspark.sources import readers, sinks
 
 
 def folder(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; on one machine without any, in a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir names no shared folder")
-    return f"{shared or tempfile.mkdtemp(prefix='lexspark-files-')}/files-{uuid.uuid4().hex}"
+    """A new path in the cluster's shared folder."""
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
 def written(rows: DataFrame, line: Column, *order: str) -> str:
