@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, computed once and kept as Parquet files, which take less room than a checkpoint, in the cluster's shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/files-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
